@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirework.llm.leaks import PASSAGE, leaks
 from quirework.llm.lookalikes import odd_rows, with_one_form
+from quirework.llm.mixture import mixture
+from quirework.llm.truncation import scored, train
 from quirework.runtime import load
 
 
@@ -22,5 +25,59 @@ def p5_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_one_form(lines, "text").where("odd").select("line_id", "one_form").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_one_form)}
-SQL: dict[str, str] = {}
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).where(F.col("run_words") >= PASSAGE).select("doc_id", "item_id")
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items that leaked, into how many documents, and the longest passage found."""
+    found = _leaks(spark, sf_dir).where(F.col("run_words") >= PASSAGE)
+    return found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("run_words").alias("longest"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[1]
+
+
+def _cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents")
+    return scored(documents, train(documents))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cuts(spark, sf_dir).where("cut").select("doc_id", "source").distinct()
+
+
+def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    return (
+        _cuts(spark, sf_dir)
+        .groupBy("source")
+        .agg(F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"))
+        .withColumn("cut_share", F.col("n_cut") / F.col("n_docs"))
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p5_found, p5_one_form, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_sources,
+    )
+}
+
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
+_P8 = f"""
+  with d as (select doc_id, {_WORDS} as w from documents), i as (select item_id, {_WORDS} as w from eval_items),
+  dg as (select distinct doc_id, array_to_string(w[k:k+11], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 10)) as k from d)),
+  ig as (select distinct item_id, array_to_string(w[k:k+11], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 10)) as k from i))
+  select distinct doc_id, item_id from dg join ig using (g)"""
+
+SQL = {"p8_found": _P8}
