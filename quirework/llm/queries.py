@@ -5,13 +5,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirework.llm.addresses import members, same_forms, same_locations
 from quirework.llm.leaks import PASSAGE, leaks
 from quirework.llm.lookalikes import odd_rows, with_one_form
 from quirework.llm.mixture import mixture
+from quirework.llm.places import locate
+from quirework.llm.scan_noise import entry_noise, learn, line_noise, mended, noise_kinds
 from quirework.llm.truncation import scored, train
 from quirework.runtime import load
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, entries = load(spark, sf_dir, "ocr_lines"), load(spark, sf_dir, "classified_lines")
+    model = learn(lines, entries)
+    return (
+        noise_kinds(line_noise(lines, model))
+        .select(F.lit("ocr_lines").alias("table_name"), "key_id", "kind")
+        .unionByName(
+            noise_kinds(entry_noise(entries, model)).select(F.lit("classified_lines").alias("table_name"), "key_id", "kind")
+        )
+    )
+
+
+def p3_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each entry's latest version as continuous readable text."""
+    entries = load(spark, sf_dir, "classified_lines")
+    clean = mended(entries, learn(load(spark, sf_dir, "ocr_lines"), entries))
+    return clean.groupBy("row_id").agg(F.max(F.struct("loaded_at", "clean")).alias("m")).select("row_id", "m.clean")
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return locate(load(spark, sf_dir, "city_entries"), load(spark, sf_dir, "gazetteer"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _places(spark, sf_dir).select("row_id", "place_id").distinct()
+
+
+def p4_how(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cities found their place by a mention, by similarity, or not at all."""
+    return _places(spark, sf_dir).groupBy("how").agg(F.countDistinct("row_id").alias("n_cities"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return same_locations(load(spark, sf_dir, "doc_entries"))
+
+
+def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each form of address of a town, its records, and how many other forms denote the same location."""
+    found = members(load(spark, sf_dir, "doc_entries"), "row_id", "city_id", ("address", "office"))
+    pairs = same_forms(found)
+    ends = pairs.select("town", F.explode(F.array("form_a", "form_b")).alias("form"))
+    links = ends.groupBy("town", "form").agg(F.count("*").alias("n_links"))
+    counts = found.groupBy("town", "form").agg(F.count("*").alias("n_records"))
+    return counts.join(links, ["town", "form"], "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = odd_rows(load(spark, sf_dir, "ocr_lines"), "line_id", "text")
     entries = odd_rows(load(spark, sf_dir, "classified_lines"), "row_id", "full_text", "loaded_at")
@@ -69,7 +118,7 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p5_found, p5_one_form, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_sources,
+        p3_found, p3_text, p4_found, p4_how, p5_found, p5_one_form, p6_found, p6_links, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_sources,
     )
 }
 
