@@ -81,7 +81,7 @@ def token_set(a: list[str], b: list[str]) -> float:
         joined = likeness("".join(a), "".join(b))
         return joined * 0.95
     best = min((max((likeness(x, y) for y in own_b), default=0.0) for x in own_a), default=0.0)
-    if best < 0.5:
+    if best < 0.6:
         return 0.0
     for one, other in ((a, b), (b, a)):
         for x in one:
@@ -258,4 +258,6 @@ def locate(cities: DataFrame, places: DataFrame) -> DataFrame:
             )
 
     kind = f"row_id {cities.schema['row_id'].dataType.simpleString()}, place_id int, how string, score double"
-    return cities.select(*names).distinct().mapInArrow(run, kind)
+    # Few bytes, much work: spread over all partitions, whose number the rule for small shuffles leaves alone.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cities.select(*names).distinct().repartition(parts, "row_id").mapInArrow(run, kind)

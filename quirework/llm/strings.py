@@ -37,9 +37,13 @@ def edits(a: str, b: str, most: int) -> int:
 
 
 def likeness(a: str, b: str) -> float:
-    """1 for equal names, falling by the share of edits, on the names or on their skeletons; 0 below a half."""
+    """1 for equal names, falling by the share of edits, on the names or on their skeletons; 0 below 0.6."""
+    if a == b:
+        return 1.0
     size = max(len(a), len(b), 1)
-    most = size // 2
+    most = size * 2 // 5
+    if min(len(a), len(b)) + most < size:
+        return 0.0
     d = edits(a, b, most)
     if d > 1:
         e = edits(skeleton(a), skeleton(b), most) + 0.25
