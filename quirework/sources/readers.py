@@ -83,7 +83,13 @@ def box_of(record: Column) -> Column:
     return F.struct(*(take(k, n) for k, n in enumerate(("x", "y", "width", "height"))))
 
 
-RESPONSE_LINE = T.ArrayType(T.StructType.fromDDL("text string, x int, y int, width int, height int, confidence double"))
+RESPONSE_LINE = T.ArrayType(
+    T.StructType(
+        [T.StructField("text", T.StringType())]
+        + [T.StructField(n, T.IntegerType()) for n in ("x", "y", "width", "height")]
+        + [T.StructField("confidence", T.DoubleType())]
+    )
+)
 
 
 def response_items(text: Column, item: T.ArrayType = RESPONSE_LINE, names: tuple[str, ...] = ("lines", "entries")) -> Column:
