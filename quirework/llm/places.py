@@ -134,8 +134,10 @@ class Gazetteer:
             short = STATES.get(key.replace(" ", ""))
             if key in self.states:
                 return self.states[key]
-            if short and short in self.by_state:
+            if short:
                 return short
+            if key.title() in STATES.values():
+                return key.title()
             if len(key) > 3:
                 best = max(((likeness(key, k), v) for k, v in self.states.items()), default=(0.0, ""))
                 if best[0] >= 0.75:
@@ -203,6 +205,8 @@ class Gazetteer:
             if score < LIKE:
                 continue
             agree, near = self._closeness(k, c, population)
+            if where is None and not (c and agree >= COUNTY_LIKE):
+                continue
             if c and p.county and agree < COUNTY_LIKE:
                 if agree < 0.5 or score < 0.9:
                     continue
