@@ -27,7 +27,7 @@ TENS = {"twentieth": 20, "thirtieth": 30, "fortieth": 40, "fiftieth": 50, "sixti
 ORDINALS = {w: i for i, w in enumerate(ONES)} | TENS | {f"{t}{o}": v + i for t, v in (("twenty", 20), ("thirty", 30), ("forty", 40), ("fifty", 50)) for i, o in enumerate(ONES[:10]) if i}
 
 TOKEN = re.compile(r"\d+|[^\W\d_]+(?:'[^\W\d_]+)?")
-HALF = re.compile(r"\s*(?:½|\b1\s*/\s*2\b)")
+HALF = re.compile(r" ?(?:½|\b1\s*/\s*2\b)")
 BOX = re.compile(r"^(?:(?:p\.?\s*o\.?|post\s*office|lock|drawer)\s*)?(?:box|drawer)\s*(?:no\.?\s*)?(\d+)\b|^(?:p\.?\s*o\.?|post\s*office)\s*(?:no\.?\s*)?(\d+)\b")
 ROUTE = re.compile(r"^(?:rural\s*(?:free\s*)?(?:route|delivery)|r\.?\s*f\.?\s*d\.?|r\.?\s*d\.?|r\.?\s*r\.?|route)\s*(?:no\.?\s*)?(\d+)\s*(?:,?\s*(?:box|bx)\.?\s*(?:no\.?\s*)?(\d+))?")
 HOUSE = re.compile(r"(?:no\.?\s*)?(\d+)( half)?$")
@@ -60,14 +60,15 @@ def form(text: str) -> str | None:
     `box|number`; `route|number|box`; `building|kind|parts|name`; `street|house|half|direction|name|kind`.
     Rooms, remarks such as rear, and a town written behind are left out.
     """
-    s = unicodedata.normalize("NFKC", text).replace("⁄", "/").replace("’", "'").casefold().strip()
+    s = unicodedata.normalize("NFKC", text).replace("⁄", "/").replace("’", "'").casefold()
+    s = " ".join(s.replace("\n", ";").split())
     s = HALF.sub(" half", s)
-    s = re.sub(r"\(.*?\)", " ", s)
+    s = re.sub(r"\([^()]*\)", " ", s)
     if m := ROUTE.match(s):
         return f"route|{int(m[1])}|{int(m[2]) if m[2] else ''}"
     if m := BOX.match(s):
         return f"box|{int(m[1] or m[2])}"
-    segments = [x.strip(" .;") for x in re.split(r"[,;\n]", s)]
+    segments = [x.strip(" .;") for x in re.split(r"[,;]", s)]
     segments = [x for x in segments if x and x not in ASIDE]
     if not segments:
         return None

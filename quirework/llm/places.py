@@ -48,7 +48,7 @@ MOST_PLACES = 500_000
 
 
 def fold(s: str) -> str:
-    return unicodedata.normalize("NFKC", s).casefold().strip()
+    return " ".join(unicodedata.normalize("NFKC", s).casefold().split())
 
 
 def tokens(name: str) -> list[str]:
