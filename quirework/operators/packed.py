@@ -23,7 +23,7 @@ DEEPEST = 40
 
 #: A school: named, with its faculty and year, or a state abbreviation and a number, mostly with a year.
 SCHOOL = (
-    re.compile(r"[A-Z][^\W\d][^;,\"()\[\]|\d]*;\s*[^;,\"()\[\]|\d']*\b(?:Faculty|Dept|Department|School|Coll)\b\.?(?:\s*,\s*['’]\d{2}(?!\d))?"),
+    re.compile(r"[A-Z][^\W\d][^;,\"()\[\]|\d]{0,120};\s*[^;,\"()\[\]|\d']{0,120}\b(?:Faculty|Dept|Department|School|Coll)\b\.?(?:\s*,\s*['’]\d{2}(?!\d))?"),
     re.compile(r"[A-Z][A-Za-z]*\.?(?:\s?[A-Z][a-z]*\.)*\s?\d{1,3}(?!\d)(?:\s*,\s*['’]\d{2}(?!\d))?"),
 )
 #: A society: a code or a bare number.
