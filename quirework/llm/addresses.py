@@ -26,8 +26,10 @@ ONES = "zeroth first second third fourth fifth sixth seventh eighth ninth tenth
 TENS = {"twentieth": 20, "thirtieth": 30, "fortieth": 40, "fiftieth": 50, "sixtieth": 60, "seventieth": 70, "eightieth": 80, "ninetieth": 90}
 ORDINALS = {w: i for i, w in enumerate(ONES)} | TENS | {f"{t}{o}": v + i for t, v in (("twenty", 20), ("thirty", 30), ("forty", 40), ("fifty", 50)) for i, o in enumerate(ONES[:10]) if i}
 
-TOKEN = re.compile(r"\d+|[^\W\d_]+(?:'[^\W\d_]+)?")
+TOKEN = re.compile(r"\d+(?:(?:st|nd|rd|th)\b)?|[^\W\d_]+(?:'[^\W\d_]+)?", re.IGNORECASE)
+ORDINAL = re.compile(r"(\d+)(?:st|nd|rd|th)$")
 HALF = re.compile(r" ?(?:½|\b1\s*/\s*2\b)")
+SUFFIX = {1: "st", 2: "nd", 3: "rd"}
 BOX = re.compile(r"^(?:(?:p\.?\s*o\.?|post\s*office|lock|drawer)\s*)?(?:box|drawer)\s*(?:no\.?\s*)?(\d+)\b|^(?:p\.?\s*o\.?|post\s*office)\s*(?:no\.?\s*)?(\d+)\b")
 ROUTE = re.compile(r"^(?:rural\s*(?:free\s*)?(?:route|delivery)|r\.?\s*f\.?\s*d\.?|r\.?\s*d\.?|r\.?\s*r\.?|route)\s*(?:no\.?\s*)?(\d+)\s*(?:,?\s*(?:box|bx)\.?\s*(?:no\.?\s*)?(\d+))?")
 HOUSE = re.compile(r"(?:no\.?\s*)?(\d+)( half)?$")
@@ -54,25 +56,32 @@ def _near(word: str, known: dict[str, str]) -> str | None:
     return None
 
 
+def _suffix(n: int) -> str:
+    return "th" if n % 100 in (11, 12, 13) else SUFFIX.get(n % 10, "th")
+
+
 def form(text: str) -> str | None:
     """The parts of an address in a fixed order, as `kind|...`; None if nothing can be read.
 
     `box|number`; `route|number|box`; `building|kind|parts|name`; `street|house|half|direction|name|kind`.
     Rooms, remarks such as rear, and a town written behind are left out.
     """
-    s = unicodedata.normalize("NFKC", text).replace("⁄", "/").replace("’", "'").casefold()
+    s = unicodedata.normalize("NFKC", text).replace("⁄", "/").replace("’", "'")
     s = " ".join(s.replace("\n", ";").split())
     s = HALF.sub(" half", s)
     s = re.sub(r"\([^()]*\)", " ", s)
-    if m := ROUTE.match(s):
+    low = s.casefold()
+    if m := ROUTE.match(low):
         return f"route|{int(m[1])}|{int(m[2]) if m[2] else ''}"
-    if m := BOX.match(s):
+    if m := BOX.match(low):
         return f"box|{int(m[1] or m[2])}"
     segments = [x.strip(" .;") for x in re.split(r"[,;]", s)]
-    segments = [x for x in segments if x and x not in ASIDE]
+    segments = [x for x in segments if x and x.casefold() not in ASIDE]
     if not segments:
         return None
-    words = [[w for w in TOKEN.findall(x)] for x in segments]
+    printed = [TOKEN.findall(x) for x in segments]
+    segments = [x.casefold() for x in segments]
+    words = [[w.casefold() for w in ws] for ws in printed]
     for ws in words:
         kind = next((k for w in reversed(ws) if (k := _near(w.replace("'", "") if w not in PARTS else w, BUILDINGS))), None)
         if kind:
@@ -80,7 +89,7 @@ def form(text: str) -> str | None:
             for w in ws:
                 if w in ROOM:
                     skip = True
-                elif w.isdigit():
+                elif w[0].isdigit():
                     skip = False
                 elif p := PARTS.get(w) or PARTS.get(w.replace("'", "")):
                     parts.add(p)
@@ -89,14 +98,15 @@ def form(text: str) -> str | None:
             return f"building|{kind}|{' '.join(sorted(parts))}|{' '.join(name)}"
     house = half = ""
     rest = []
-    for x, ws in zip(segments, words):
+    for x, ws in zip(segments, printed):
         if not house and (m := HOUSE.match(x)) and len(segments) > 1:
             house, half = str(int(m[1])), "half" if m[2] else ""
         else:
             rest.append(ws)
     if not rest:
         return None
-    ws = list(rest[0])
+    as_printed = list(rest[0])
+    ws = [w.casefold() for w in as_printed]
     if not house:
         if len(ws) > 1 and ws[0] == "no" and ws[1].isdigit():
             ws = ws[1:]
@@ -104,15 +114,19 @@ def form(text: str) -> str | None:
             house, ws = str(int(ws[0])), ws[1:]
             if ws and ws[0] == "half":
                 half, ws = "half", ws[1:]
+    as_printed = as_printed[len(as_printed) - len(ws) :]
     direction = kind = ""
     name: list[str] = []
     k = 0
     while k < len(ws):
         w = ws[k]
         if w.isdigit():
-            if k + 1 < len(ws) and ws[k + 1] in ("st", "nd", "rd", "th") and (k + 2 < len(ws) or ws[k + 1] in ("nd", "th") or w[-1] in "13"):
+            # "1 st" is an ordinal, "1 St" a street, unless a kind of street comes behind it.
+            if k + 1 < len(ws) and ws[k + 1] == _suffix(int(w)) and (as_printed[k + 1].islower() or any(x in KINDS for x in ws[k + 2 :])):
                 k += 1
             name.append(str(int(w)))
+        elif m := ORDINAL.match(w):
+            name.append(str(int(m[1])))
         elif w in ASIDE:
             pass
         elif w in DIRECTIONS and not direction and (k == 0 or k == len(ws) - 1 or name):
