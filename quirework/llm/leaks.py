@@ -121,7 +121,9 @@ def leaks(
         .distinct()
     )
     candidates = hits.join(seeds, "gram").select("doc_id", "item_id").distinct()
-    pairs = candidates.join(docs, "doc_id").join(own, "item_id").select("doc_id", "item_id", "doc_words", "item_words")
+    texts = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("doc_text"))
+    met = texts.join(candidates, "doc_id").join(own, "item_id")
+    pairs = met.select("doc_id", "item_id", words(F.col("doc_text")).alias("doc_words"), "item_words")
     kind = candidates.select("doc_id", "item_id", F.lit(0).alias("run_words"), F.lit(0.0).alias("share")).schema
     for f in kind.fields:
         f.nullable = True

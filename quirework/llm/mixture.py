@@ -92,7 +92,8 @@ def mixture(
     Plan: one range shuffle by (source, hash), so that a source of any size is spread over many tasks;
     sums per task and source give each task's start, and the running sums are made within the tasks.
     """
-    counted = with_tokens(documents, keep=("doc_id", "source"), path=path).where("source is not null")
+    # Written once, as the ranges are found in a pass of their own over what is to be ranged.
+    counted = cut(with_tokens(documents, keep=("doc_id", "source"), path=path).where("source is not null"))
     laid = cut(
         counted.withColumn("r", F.xxhash64("doc_id", F.lit(seed)))
         .repartitionByRange("source", "r", "doc_id")
@@ -103,7 +104,8 @@ def mixture(
     by_source = Window.partitionBy("source")
     parts = parts.withColumn(
         "before", F.sum("tokens").over(by_source.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    ).select("part", "source", F.coalesce("before", F.lit(0)).cast("bigint").alias("before"), "tokens", "docs")
+    )
+    parts = cut(parts.select("part", "source", F.coalesce("before", F.lit(0)).cast("bigint").alias("before"), "tokens", "docs"))
     sums = parts.groupBy("source").agg(F.sum("tokens").alias("have"), F.sum("docs").alias("docs"))
     wanted = targets.where("source is not null").select(
         "source",
@@ -118,13 +120,11 @@ def mixture(
         F.coalesce("max_repeats", F.lit(0)).alias("max_repeats"),
     )
     usable = (F.col("have") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
-    whole = plan.agg(
-        F.sum(F.when(usable, F.col("target_share"))).alias("shares"),
-        F.min(F.when(usable, F.col("have") * F.col("max_repeats") / F.col("target_share"))).alias("most"),
-    )
-    plan = plan.crossJoin(F.broadcast(whole))  # one row
-    size = F.lit(float(total)) if total is not None else F.col("most") * F.col("shares")
-    plan = plan.withColumn("asked", F.when(usable, size * F.col("target_share") / F.col("shares")).otherwise(F.lit(0.0)))
+    shares, most = plan.agg(
+        F.sum(F.when(usable, F.col("target_share"))), F.min(F.when(usable, F.col("have") * F.col("max_repeats") / F.col("target_share")))
+    ).first()  # one row of two numbers
+    size = F.lit(float(total) if total is not None else (most or 0.0) * (shares or 0.0))
+    plan = plan.withColumn("asked", F.when(usable, size * F.col("target_share") / F.lit(shares or 1.0)).otherwise(F.lit(0.0)))
     plan = plan.withColumn("budget", F.least("asked", F.col("have") * F.col("max_repeats").cast("double")))
     plan = plan.withColumn("passes", F.when(usable, F.floor(F.col("budget") / F.col("have") + 1e-9)).otherwise(F.lit(0))).withColumn(
         "rest", F.greatest(F.col("budget") - F.col("passes") * F.col("have"), F.lit(0.0))
@@ -148,10 +148,10 @@ def mixture(
         F.sum(F.col("n_tokens") * F.col("times")).alias("mixed_tokens"), F.count("*").alias("mixed_docs"),
         F.max("times").alias("most_used"),
     )
-    grand = used.agg(F.sum("mixed_tokens").alias("all_tokens"))
+    every = Window.partitionBy(F.lit(0))  # a row for each source
     shares = (
         plan.join(used, "source", "left")
-        .crossJoin(F.broadcast(grand))  # one row
+        .withColumn("all_tokens", F.sum("mixed_tokens").over(every))
         .select(
             "source", "target_share", "max_repeats", F.col("docs").alias("source_docs"), F.col("have").alias("source_tokens"),
             F.coalesce("mixed_docs", F.lit(0)).alias("mixed_docs"),
