@@ -45,9 +45,9 @@ def line_heights(lines: DataFrame, key: str = "line_id") -> DataFrame:
     per = lines.groupBy(*COLUMN).agg(
         F.floor((F.max(F.col("y") + F.col("height")) - F.min("y")) / F.nullif(F.countDistinct(key), F.lit(0))).alias("px")
     )
-    mean = per.agg(F.avg("px").alias("mean"))
-    far = per.crossJoin(F.broadcast(mean)).where(F.abs(F.col("px") - F.col("mean")) > HEIGHT_SHARE * F.col("mean"))  # one row
-    return _finding(far, "line_heights", "warning", _at(*COLUMN), F.round("mean", 1), F.col("px"))
+    mean = per.agg(F.avg("px")).first()[0] or 0.0
+    far = per.where(F.abs(F.col("px") - mean) > HEIGHT_SHARE * mean)
+    return _finding(far, "line_heights", "warning", _at(*COLUMN), F.lit(round(mean, 1)), F.col("px"))
 
 
 def column_coverage(lines: DataFrame, entries: DataFrame) -> DataFrame:
