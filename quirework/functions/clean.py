@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 from functools import reduce
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column
@@ -99,3 +102,36 @@ def join_broken(text: Column) -> Column:
 def pad_to(text: Column, other: Column) -> Column:
     """The text padded on the right to the length of the longer of the two."""
     return F.rpad(text, F.greatest(F.length(text), F.length(other)), F.lit(" "))
+
+
+_RECORD_MAP = str.maketrans({**dict(zip(ONE_FROM, ONE_TO)), **dict.fromkeys(DELETED, None), **dict(SEVERAL)})
+_CONTROL, _BLANKS = re.compile(CONTROL), re.compile(r"[ \t]{2,}")
+
+
+def _plain(text: str) -> str:
+    text = unicodedata.normalize("NFKC", text).translate(_RECORD_MAP)
+    return _BLANKS.sub(" ", _CONTROL.sub("", text)).strip(" \t")
+
+
+def _walk(value: Any) -> Any:
+    if isinstance(value, str):
+        return _plain(value)
+    if isinstance(value, list):
+        return [_walk(v) for v in value]
+    if isinstance(value, dict):
+        return {_plain(k): _walk(v) for k, v in value.items()}
+    return value
+
+
+@F.pandas_udf(T.StringType())
+def clean_json(records: pd.Series) -> pd.Series:
+    """JSON texts with all keys and all texts in them cleaned as records are, whatever their shape; numbers and
+    the like stay. A text that is no JSON is cleaned as a text; null stays null."""
+
+    def one(text: str) -> str:
+        try:
+            return json.dumps(_walk(json.loads(text)), ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return _plain(text)
+
+    return records.map(one, na_action="ignore")

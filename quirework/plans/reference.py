@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirework.functions import clean, codes, grammar
 from quirework.operators import grouping, hierarchy, quality, statistics, tables, textdiff
 from quirework.plans.export import export_columns, export_wide
 from quirework.runtime import load
+from quirework.sources import readers
+from quirework.streaming import resume
 
 COLUMN = ("pub", "page", "col")
 REVIEW_BELOW = 0.90
@@ -183,6 +187,56 @@ def json_props(spark, d):
     return m.select("event_id", F.explode("m").alias("k", "v"))
 
 
+@_query()
+def clean_json_records(spark, d):
+    """Records of any shape with their keys and texts cleaned."""
+    return load(spark, d, "events").select("event_id", clean.clean_json("props").alias("cleaned"))
+
+
+@_query(f"select line_id, x, y, width, height from {_L}")
+def boxes_read(spark, d):
+    """Boxes written as lists, as records and flat in one column of JSON, and read back."""
+    flat = F.struct("x", "y", "width", "height")
+    forms = (F.struct(F.array("x", "y", "width", "height").alias("bbox")), F.struct(flat.alias("bbox")), flat)
+    record = F.when(F.col("line_id") % 3 == 0, F.to_json(forms[0])).when(F.col("line_id") % 3 == 1, F.to_json(forms[1])).otherwise(F.to_json(forms[2]))
+    return _lines(spark, d).select("line_id", readers.box_of(record).alias("b")).select("line_id", "b.*")
+
+
+@_query("""select pub as pub_id, page as page_num, col as "column", printf('%s_p%02d_r00_c%03d.jpg', pub, page, col) as path, min(x) as x_offset, min(y) as y_offset from ocr_lines group by pub, page, col""")
+def metadata_flattened(spark, d):
+    """Nested records of publications, pages and snippets, to one row per snippet."""
+    path = codes.snippet_name(F.col("pub"), F.col("page"), F.col("col")).alias("path")
+    snippet = F.struct(path, F.col("x_offset"), F.col("y_offset"), F.col("col").alias("column"))
+    snippets = load(spark, d, "ocr_lines").groupBy(*COLUMN).agg(F.min("x").alias("x_offset"), F.min("y").alias("y_offset"))
+    pages = snippets.groupBy("pub", "page").agg(F.collect_list(snippet).alias("snippets"))
+    nested = pages.groupBy(F.col("pub").alias("pub_id")).agg(F.collect_list(F.struct(F.col("page").alias("page_num"), "snippets")).alias("pages"))
+    return readers.flat_metadata(nested)
+
+
+@_query(f"""select pub, page, col, count(*) as n_items, sum(case when coalesce(conf, 0) < 0.9 then 1 else 0 end)::bigint as n_low from {_L} group by all""")
+def answers_read(spark, d):
+    """Answers of a service, one per column, as bare lists or under a name, to their items."""
+    item = F.struct("text", "x", "y", "width", "height", F.col("conf").alias("confidence"))
+    lists = _lines(spark, d).groupBy(*COLUMN).agg(F.collect_list(item).alias("items"))
+    answer = F.when(F.col("col") == 0, F.to_json("items")).when(F.col("col") == 1, F.to_json(F.struct(F.col("items").alias("lines")))).otherwise(F.to_json(F.struct(F.col("items").alias("entries"))))
+    read = lists.select(*COLUMN, F.explode(readers.response_items(answer)).alias("i"))
+    low = F.coalesce("i.confidence", F.lit(0.0)) < REVIEW_BELOW
+    return read.groupBy(*COLUMN).agg(F.count("*").alias("n_items"), F.count_if(low).alias("n_low"))
+
+
+def _extract(batch: pd.DataFrame) -> pd.DataFrame:
+    read = [grammar.read_doctor(t) for t in batch["full_text"].astype(object).where(batch["full_text"].notna(), None)]
+    return pd.DataFrame({"row_id": batch["row_id"], "name": [r[0] if r else None for r in read], "license_year": [r[6] if r else None for r in read]})
+
+
+@_query()
+def extraction_run(spark, d):
+    """Doctors' entries sent in batches to an extractor (here the grammar), those that fail kept and marked."""
+    pending = _entries(spark, d).where("entry_type = 'DOC'").select("row_id", "full_text")
+    answer = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("license_year", T.StringType())])
+    return resume.answered(pending, answer, _extract, size=20)
+
+
 # --- joins and set operations ---------------------------------------------------------------------------
 
 

@@ -48,6 +48,12 @@ def test_record_cleaner_and_small_functions(spark):
     assert _one(spark, ["a- b\n-c"], clean.squeeze(F.col("t"))) == ["abc"] and _one(spark, ["offi-\n ce"], clean.join_broken(F.col("t"))) == ["office"]
 
 
+def test_json_cleaner(spark):
+    df = spark.createDataFrame([('{"“k”": ["a\u200b  b", 1, null, {"x": "…"}]}',), ("no “json”",), (None,), ("[" * 5000,)], "t string")
+    got = [r[0] for r in df.select(clean.clean_json("t")).collect()]
+    assert json.loads(got[0]) == {'"k"': ["a b", 1, None, {"x": "..."}]} and got[1:3] == ['no "json"', None] and got[3] == "[" * 5000
+
+
 def test_codes(spark):
     years = ["95", "06", "6", "1895", "-1", "", None, "'11", "195"]
     assert _one(spark, years, codes.full_year(F.col("t"), 18)) == [1895, 1906, 1906, 1895, None, None, None, 1911, None]
