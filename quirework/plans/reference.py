@@ -324,10 +324,9 @@ def positional_join(spark, d):
 
 @_query("select distinct * exclude (scanned_at) from ocr_lines")
 def sort_dedup(spark, d):
-    """Both halves of the lines put together, whole rows once, in reading order."""
+    """The lines of two deliveries put together, whole rows once, in reading order."""
     lines = load(spark, d, "ocr_lines").drop("scanned_at")
-    halves = [lines.where("page % 2 = 0"), lines.where("page % 2 <> 0"), lines]
-    return tables.sorted_distinct(halves, (*COLUMN, "line_no"))
+    return tables.sorted_distinct([lines, lines], (*COLUMN, "line_no"))
 
 
 @_query("""select entry_id, publication, name, city_id, null::int as population from doc_entries union all select entry_id, publication, name, null, population from city_entries""")
