@@ -129,4 +129,20 @@ _P8 = f"""
   ig as (select distinct item_id, array_to_string(w[k:k+11], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 10)) as k from i))
   select distinct doc_id, item_id from dg join ig using (g)"""
 
-SQL = {"p8_found": _P8}
+#: The characters in question as ranges, and the normal form of single letters, instead of tables.
+_ODD = (
+    r"[\x{FF01}-\x{FF5E}\x{FFE0}-\x{FFE6}\x{1D400}-\x{1D7FF}\x{FB00}-\x{FB06}"
+    r"\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}\x{AD}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{FEFF}]"
+)
+_LATEST = "(select row_id, full_text from (select *, row_number() over (partition by row_id order by loaded_at desc) as rn from classified_lines) where rn = 1)"
+
+
+def _is_odd(text: str) -> str:
+    return f"regexp_matches({text}, '{_ODD}') or regexp_matches({text}, '[\\p{{Cyrillic}}]|[\\p{{Greek}}]') or nfc_normalize({text}) <> {text}"
+
+
+_P5 = f"""
+  select distinct 'ocr_lines' as table_name, line_id as key_id from ocr_lines where {_is_odd("text")}
+  union all select 'classified_lines', row_id from {_LATEST} where {_is_odd("full_text")}"""
+
+SQL = {"p5_found": _P5, "p8_found": _P8}
