@@ -48,10 +48,12 @@ def carry_forward(df: DataFrame, order: str, carried: Mapping[str, Column], bloc
 
 def split_entries(entries: DataFrame, order: str = "row_id", kind: str = "entry_type", reset: bool = False) -> tuple[DataFrame, DataFrame]:
     """(cities with their state_name, doctors with their city_id) of entries in reading order, which have
-    `publication`, `entry_id` and `full_text`. Other entries are left out."""
+    `publication`, `entry_id` and `full_text`. Other entries are left out. With `reset` parents are not
+    carried into the next publication; without, rows are cut into even ranges of the order, so that a
+    publication of any size is spread."""
     parents = {
         "state_name": F.when(F.col(kind) == "STATE", F.col("full_text")),
         "city_id": F.when(F.col(kind) == "CITY", F.col("entry_id")),
     }
-    full = carry_forward(entries, order, parents, "publication", reset)
+    full = carry_forward(entries, order, parents, "publication" if reset else None, reset)
     return full.where(F.col(kind) == "CITY").drop("city_id"), full.where(F.col(kind) == "DOC").drop("state_name")

@@ -138,8 +138,20 @@ _DIRECT = """
            strftime(arrival, '%Y-%m') as period
     from child c left join parent p on p.table_name = c.table_name and p.k = c.ref)"""
 
+#: The values as a regular language, where no quote or bracket is malformed.
+_VALUES = {
+    "schools": r"Univ\. of [^;\"]*; Med\. Faculty,\s*''[0-9]{2}|[A-Z][A-Za-z]*\.?(?:[A-Z]\.)*\s?[0-9]{1,2}(?:\s*,\s*''[0-9]{2})?",
+    "societies": r"[A-G]?[0-9]{1,2}",
+}
+_P2 = " union all ".join(
+    f"""select distinct row_id, '{f}' as field, k::int as pos, regexp_replace(vs[k], '\\s', '', 'g') as val from (
+      select row_id, vs, unnest(range(1, len(vs) + 1)) as k from (select row_id, regexp_extract_all({f}, '{p}') as vs from doc_entries where {f} is not null) where len(vs) >= 2)"""
+    for f, p in _VALUES.items()
+)
+
 SQL = {
     "p1_found": _P1,
+    "p2_found": _P2,
     "p1_summary": f"select table_name, field, kind, count(*) as n from ({_P1}) group by all",
     "p7_found": f"{_DIRECT} select table_name, row_id, reason, period from direct where reason is not null",
     "p7_direct": f"{_DIRECT} select table_name, reason, count(*) as n from direct where reason is not null group by all",
