@@ -38,25 +38,60 @@ CITY_LINE = r"([a-zA-Z\s.,()']+),\s?(?:(?:([0-9,]+?)|-),\s?)?([a-zA-Z().\s-]+)"
 LOOSE_CITY = r"\w.+?,.+?\d.+?,.+?\w.+?"
 
 
+@dataclass(frozen=True)
+class Blocks:
+    """The blocks that a grammar puts together."""
+
+    surname: str = r"[a-zA-Z '1]+"
+    given: str = r"[a-zA-Z.,\s]+"
+    school: str = SCHOOL_CODE
+    no_school: str = "◊"
+    licence: str = LICENCE
+    place: str = PLACE
+    society: str = SOCIETY
+    rest: str = ""
+    state_line: str = STATE_LINE
+    city_line: str = CITY_LINE
+
+
+_LETTER = "a-zA-ZÀ-ÖØ-öø-ÿ"
+#: The printed forms with those that the strict grammar leaves out: accented and double names, states of two
+#: initials, schools without a year or with a name, △ and ‡, bare society numbers, halves and remarks in
+#: addresses, and an office held, at the end.
+WIDE = Blocks(
+    surname=rf"[{_LETTER} '1-]+?",
+    given=rf"[{_LETTER}.,\s]+",
+    school=rf"(?:Univ\. of [{_LETTER} ]+; Med\. Faculty, {YEAR}|(?:[A-Z][a-z]{{1,4}}|[O0]|[A-Z]\.\s?[A-Z])\.?\s?(?:\d{{1,2}}|[lI*])(?:\s?,?\s?(?:{YEAR}|\*))?)",
+    no_school="[◊△]",
+    licence=r"\((?:[lI][\s'](\d\d|t)|([♁‡]))\)\s?;?",
+    place=rf"[{_LETTER[3:]}1-9][\w\s.,'&½/()-]+?[{_LETTER}][\w\s.,'&/()-]*",
+    society=r"\(([A-G]?\d{1,3}(?:,\s?[A-G]?\d{1,3})*)\)",
+    rest=r"(?:;?\s?Supt\.,[^;]*)?",
+    city_line=rf"([{_LETTER}\s.,()'—-]+?),\s?(?:(?:([0-9,]+?)|-),\s?)?([{_LETTER}().\s'-]+)",
+)
+
+
 @dataclass(frozen=True)
 class Patterns:
     to_school: str
     to_address: str
     to_office: str
     full: str
+    state_line: str
+    city_line: str
 
 
-def _patterns() -> Patterns:
+def _patterns(b: Blocks) -> Patterns:
     to_school = (
-        r"([a-zA-Z '1]+),\s([a-zA-Z.,\s]+)\s?(?:(\(col\.\))\s?)?" + rf"(?:{BIRTH}\s?)?({MARK})\s?"
-        + rf"(?:({SCHOOL_CODE}(?:, {SCHOOL_CODE})*\s?;)|(◊));?\s?"
+        rf"({b.surname}),\s({b.given})\s?(?:(\(col\.\))\s?)?" + rf"(?:{BIRTH}\s?)?({MARK})\s?"
+        + rf"(?:({b.school}(?:, {b.school})*\s?;)|({b.no_school}));?\s?"
     )
-    licence = rf"(?:{LICENCE})?\s?(not in practice;?\s?)?"
-    address = rf"(?:({PLACE}|{RURAL});"
-    office = rf"(?:\s?of(?:- )?fice,\s({PLACE});"
+    licence = rf"(?:{b.licence})?\s?(not in practice;?\s?)?"
+    address = rf"(?:({b.place}|{RURAL});"
+    office = rf"(?:\s?of(?:- )?fice,\s({b.place});"
     tail = (
-        rf"(?:({HOURS}(?:[,;]\s?{HOURS}){{0,2}});? ?)?" + rf"(?:{SOCIETY};? ?)?"
-        + rf"(?:({SPECIALTY}(?:, ?{SPECIALTY})*);? ?)?" + r"(▼[GN]?)?"
+        rf"(?:({HOURS}(?:[,;]\s?{HOURS}){{0,2}});? ?)?" + rf"(?:{b.society};? ?)?"
+        + rf"(?:({SPECIALTY}(?:, ?{SPECIALTY})*);? ?)?" + r"(▼[GN]?)?" + b.rest
     )
     end = r"(?<![;-])"
     start = to_school + licence
@@ -65,10 +100,12 @@ def _patterns() -> Patterns:
         start + address + r"?\s?)" + end,
         start + address + r"?\s?)?" + office + r"?\s?)" + end,
         start + address + r"? ?)?" + office + r"? ?)?" + tail + end,
+        b.state_line,
+        b.city_line,
     )
 
 
-PATTERNS = _patterns()
+PATTERNS, WIDE_PATTERNS = _patterns(Blocks()), _patterns(WIDE)
 #: The groups of the full pattern. Fixed by its blocks.
 GROUPS = {
     "last_name": 1, "first_name": 2, "col": 3, "birth": 4, "mark": 5, "schools": 6, "no_school": 7, "licence": 8, "earlier": 9,
@@ -80,22 +117,29 @@ def _whole(line: Column, pattern: str) -> Column:
     return line.rlike(rf"(?d)\A(?:{pattern})\z")
 
 
-def line_type(line: Column) -> Column:
+def line_type(line: Column, patterns: Patterns = PATTERNS) -> Column:
     """The kind of a line, or of some lines joined, tried in the order of the grammar; null stays null."""
-    short = F.length(line) <= LONGEST
+    # What every city and every doctor has is tested first, as it costs little.
+    city = (F.length(line) <= LONGEST) & line.contains(",")
+    doctor = city & line.contains("-")
     return (
         F.when(line.isNull(), F.lit(None).cast("string"))
-        .when(_whole(line, STATE_LINE), STATE)
-        .when(short & _whole(line, CITY_LINE), CITY)
+        .when(_whole(line, patterns.state_line), STATE)
+        .when(city & _whole(line, patterns.city_line), CITY)
         .when(
-            short & _whole(line, PATTERNS.full),
-            F.when(_whole(line, PATTERNS.to_address), DOC_TO_ADDR).when(_whole(line, PATTERNS.to_office), DOC_TO_OFF).otherwise(DOC_FULL),
+            doctor & _whole(line, patterns.full),
+            F.when(_whole(line, patterns.to_address), DOC_TO_ADDR).when(_whole(line, patterns.to_office), DOC_TO_OFF).otherwise(DOC_FULL),
         )
-        .when(short & line.rlike(rf"(?d)\A(?:{PATTERNS.to_school})"), DOC_START)
+        .when(doctor & line.rlike(rf"(?d)\A(?:{patterns.to_school})"), DOC_START)
         .otherwise(UNKNOWN)
     )
 
 
+def wide_line_type(line: Column) -> Column:
+    """`line_type` by the wider grammar."""
+    return line_type(line, WIDE_PATTERNS)
+
+
 def is_loose_city(line: Column) -> Column:
     """Whether a line looks like a city with misread characters."""
     return ~line.rlike("[⊕+*:;]") & line.rlike(rf"\A(?:{LOOSE_CITY})")

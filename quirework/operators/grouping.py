@@ -53,7 +53,16 @@ def group_entries(
     own = own.select("*", *(a.alias(f"_l{k}") for k, a in enumerate(ahead)))
     # concat, unlike concat_ws, is null as soon as a line is missing.
     own = own.select("*", *(F.concat(*[x for j in range(k + 1) for x in ((F.lit(" "), F.col(f"_l{j}")) if j else (F.col("_l0"),))]).alias(f"_p{k}") for k in range(most)))
-    own = own.select("*", *(kind_of(F.col(f"_p{k}")).alias(f"_k{k}") for k in range(most)))
+    # A longer prefix is classified only where the shorter ones leave it open.
+    for k in range(most):
+        kind = kind_of(F.col(f"_p{k}"))
+        if k:
+            seen = F.col(f"_k{k - 1}")
+            decided = seen.isNull() | seen.isin(*FINAL)
+            if k > 1:
+                decided = decided | (F.col(f"_k{k - 2}").isin(*PERHAPS) & ~seen.isin(*FINAL))
+            kind = F.when(~decided, kind)
+        own = own.withColumn(f"_k{k}", kind)
 
     def decision(k: int) -> tuple[Column, int, str | Column]:
         return F.col(f"_k{k}"), k + 1, F.col(f"_k{k}")

@@ -478,14 +478,18 @@ def request_batches(spark, d):
 
 @_query()
 def line_types(spark, d):
-    return _entries(spark, d).select("row_id", grammar.line_type(F.regexp_replace("full_text", r"\s+", " ")).alias("line_type"), grammar.is_loose_city(F.col("full_text")).alias("loose_city"))
+    """Kinds of entries by the strict and by the wider grammar."""
+    plain = F.regexp_replace(F.regexp_replace("full_text", r"(?<=[a-z])-\s+(?=[a-z])", ""), r"\s+", " ")
+    return _entries(spark, d).select(
+        "row_id", grammar.line_type(plain).alias("line_type"), grammar.wide_line_type(plain).alias("wide_type"), grammar.is_loose_city(F.col("full_text")).alias("loose_city")
+    )
 
 
 @_query()
 def entry_groups(spark, d):
     """Lines grouped into entries, with kinds, texts and boxes."""
     lines = _lines(spark, d).where(clean.is_readable(F.col("text")))
-    return grouping.group_entries(lines.withColumn("text", clean.clean_line(F.col("text"))))
+    return grouping.group_entries(lines.withColumn("text", clean.clean_line(F.col("text"))), kind_of=grammar.wide_line_type)
 
 
 @_query(f"""select row_id, trim(nullif(regexp_extract(full_text, '(?s)^(.+?),\\s*(?:([0-9][0-9,.]*|-)\\s*,\\s*)?([^,0-9]+?)\\.?\\s*$', 1), '')) as city,

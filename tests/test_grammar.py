@@ -64,3 +64,26 @@ def test_doctor_udf_keeps_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "KAY, A.-Ala.2,'90; (l 91)")], "k int, t string")
     got = {r.k: r.f for r in df.select("k", grammar.doctor_fields("t").alias("f")).collect()}
     assert got[3].name == "KAY, A." and got[3].license_year == "91" and got[1].name is None and got[2].name is None
+
+
+def test_wide_grammar(spark):
+    wide = [
+        ("ÅSKILD, CLARA L.-Wis.6,'83; (l 03)", DOC_FULL), ("VOSBY, EZRA W.-S.D.15,'12, Ky.15,'73; (l 01); 1068 S. Oak Ave.", DOC_TO_ADDR), ("Yarley-Jarvworth, Charles (b'87)-Me.9,'07; (‡); 1-3; (E15,4)", DOC_FULL),
+        ("Cromland, Samuel (b'80)-Fla.6; (l 13); D", DOC_FULL), ("Jesry, Anna-Univ. of Yarhurst; Med. Faculty, '72, Fla.6,'78; (l 87)", DOC_FULL), ("Ubburn, Martha H.-△; (l 05); 508 1/2 W. 6th Ave. (res.)", DOC_TO_ADDR),
+        ("Saint-Côme—Continued, 126, D'Orsay Co.", CITY), ("TENNESSEE", STATE), ("Marks, L. K.- (l 07)", UNKNOWN), ("1455.", UNKNOWN), (None, None),
+    ]
+    strict = [(t, k) for t, k in LINES if k not in (UNKNOWN, None)]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(wide + strict)], "k int, t string")
+    got = {r.k: r.kind for r in df.select("k", grammar.wide_line_type(F.col("t")).alias("kind")).collect()}
+    assert [(t, got[k]) for k, (t, _) in enumerate(wide)] == wide
+    assert all(got[len(wide) + k] != UNKNOWN for k in range(len(strict)))
+
+
+def test_no_line_takes_long(spark):
+    import time
+
+    hard = ["A" * 1990, "A, " * 600, "A b, c" * 300, "A, B-Ala.1,'0" * 140, "A, B-" + "Ala.1,'01, " * 170, "A, B-◊; " + "1 a " * 480, "A, B-◊; (l 01); " + "1-2, " * 380, "A, B-◊; (A1" + ",A1" * 600, "Univ. of a; " * 160]
+    df = spark.createDataFrame([(t,) for t in hard], "t string").coalesce(1)
+    began = time.time()
+    df.select(grammar.line_type(F.col("t")), grammar.wide_line_type(F.col("t"))).collect()
+    assert time.time() - began < 60
