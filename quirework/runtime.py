@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints: spark.checkpoint.dir of the session, which a cluster sets to a
-    folder all executors share; only where nothing is set (tests, one machine) a temporary one."""
+    folder all executors share. Where nothing is set, a folder in the warehouse, and a temporary
+    one only if the executors are threads of this process (tests, one machine)."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     folder = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get("spark.checkpoint.dir", "")
+    if not folder and not re.match(r"local(\[|$)", sc.master):
+        folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
     folder = folder or tempfile.mkdtemp(prefix="quirework-checkpoint-")
     sc.setCheckpointDir(folder)
     return folder
