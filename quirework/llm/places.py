@@ -11,7 +11,6 @@ from dataclasses import dataclass, field
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quirework.llm.strings import likeness
 
