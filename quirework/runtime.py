@@ -5,12 +5,32 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application, so that they find it wherever they
+    run and whatever their search path is."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="quirework-code-"), f"{package.name}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table `name` of a data folder."""
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
