@@ -142,13 +142,13 @@ def parse_keys(spark, d):
 
 @_query(f"""with m as (select *, max(x + width) over (partition by pub, page) as mx, max(y + height) over (partition by pub, page) as my from {_L})
   select line_id, case when conf >= 0.99 then 'green' when conf >= 0.98 then 'yellow' when conf > 0.95 then 'orange' else 'red' end as colour,
-    round(x / 1000.0::double, 6) as sx, round(y::double / my * 0.99, 6) as sy, round(height::double / my, 6) as sh from m""")
+    x::double / 1000 as sx, y::double / my * 0.99 as sy, height::double / my as sh from m""")
 def drawn_lines(spark, d):
     """Lines as a viewer draws them: colour by confidence, box scaled to the page."""
     m = _lines(spark, d).withColumn("my", F.max(F.col("y") + F.col("height")).over(Window.partitionBy("pub", "page")))
     return m.select(
-        "line_id", codes.confidence_colour(F.col("conf")).alias("colour"), F.round(F.col("x") / 1000, 6).alias("sx"),
-        F.round(F.col("y") / F.col("my") * 0.99, 6).alias("sy"), F.round(F.col("height") / F.col("my"), 6).alias("sh"),
+        "line_id", codes.confidence_colour(F.col("conf")).alias("colour"), (F.col("x") / 1000).alias("sx"),
+        (F.col("y") / F.col("my") * 0.99).alias("sy"), (F.col("height") / F.col("my")).alias("sh"),
     )
 
 
