@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,12 +53,20 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def _query(sql: str | None = None):
+def _query(sql: str | None = None, rounded: tuple[str, ...] = ()):
+    """Register a query and its SQL; the columns `rounded` are given to nine places, as sums and powers may
+    differ in the last bit between engines."""
+
     def add(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            df = f(spark, sf_dir)
+            return df.select(*(F.round(c, 9).alias(c) if c in rounded else c for c in df.columns)) if rounded else df
+
+        QUERIES[f.__name__] = query
         if sql is not None:
-            SQL[f.__name__] = sql
-        return f
+            SQL[f.__name__] = f"select * replace ({', '.join(f'round({c}, 9) as {c}' for c in rounded)}) from ({sql})" if rounded else sql
+        return query
 
     return add
 
@@ -361,7 +371,7 @@ def text_kept(spark, d):
 
 
 @_query(f"""with n as (select publication, entry_type, count(*) as n from {_E} where not (entry_type = 'UNKNOWN' and coalesce(full_text, '') like 'NUMBER OF%') group by all)
-  select publication, entry_type, n, n / sum(n) over (partition by publication)::double as share from n""")
+  select publication, entry_type, n, n / sum(n) over (partition by publication)::double as share from n""", rounded=('share',))
 def type_shares(spark, d):
     e = _entries(spark, d).where(~((F.col("entry_type") == "UNKNOWN") & F.coalesce(F.col("full_text").startswith("NUMBER OF"), F.lit(False))))
     n = e.groupBy("publication", "entry_type").agg(F.count("*").alias("n"))
@@ -369,7 +379,7 @@ def type_shares(spark, d):
 
 
 @_query("""with n as (select user_id, event_type, count(*) as n from events group by all), s as (select *, n / sum(n) over (partition by user_id)::double as share from n)
-  select * from s where share > 0.4 or share < 0.1""")
+  select * from s where share > 0.4 or share < 0.1""", rounded=('share',))
 def share_outliers(spark, d):
     n = load(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     s = n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("user_id")))
@@ -389,7 +399,7 @@ def column_boxes(spark, d):
 
 
 @_query(f"""select count(conf) as n, avg(conf) as mean, stddev_samp(conf) as std, min(conf) as low, quantile_cont(conf, 0.25) as q25, quantile_cont(conf, 0.5) as q50,
-  quantile_cont(conf, 0.75) as q75, max(conf) as high from {_L}""")
+  quantile_cont(conf, 0.75) as q75, max(conf) as high from {_L}""", rounded=('mean', 'std', 'q25', 'q50', 'q75'))
 def describe_confidence(spark, d):
     return statistics.describe(_lines(spark, d), "conf")
 
@@ -411,7 +421,7 @@ def grouped_measures(spark, d):
 
 
 @_query(f"""with p as (select pub, page, col, count(*) as n from {_L} group by all), m as (select pub, page, avg(n) as mean_lines, min(n) as lo, max(n) as hi from p group by all)
-  select pub, page, mean_lines, greatest(mean_lines - lo, hi - mean_lines) as deviation from m""")
+  select pub, page, mean_lines, greatest(mean_lines - lo, hi - mean_lines) as deviation from m""", rounded=('mean_lines', 'deviation'))
 def column_deviation(spark, d):
     return statistics.column_deviation(_lines(spark, d), ("pub", "page"), "col", "line_id")
 
@@ -571,7 +581,7 @@ _CELLS = ("publication", "entry_type", "full_text", "col_no")
     union all select '(cells)', count(*) * {len(_CELLS)}, sum({" + ".join(f"d_{c}" for c in _CELLS)})::bigint from m
     union all select '(rows)', count(*), sum(greatest({", ".join(f"d_{c}" for c in _CELLS)}))::bigint from m)
   select grp, n, n_errors, n_errors / n::double as error_rate, 1.96 * sqrt((n_errors / n::double) * (1 - n_errors / n::double) / n) as moe_95,
-    2.17 * sqrt((n_errors / n::double) * (1 - n_errors / n::double) / n) as moe_97, 2.576 * sqrt((n_errors / n::double) * (1 - n_errors / n::double) / n) as moe_99 from g""")
+    2.17 * sqrt((n_errors / n::double) * (1 - n_errors / n::double) / n) as moe_97, 2.576 * sqrt((n_errors / n::double) * (1 - n_errors / n::double) / n) as moe_99 from g""", rounded=('error_rate', 'moe_95', 'moe_97', 'moe_99'))
 def error_rates(spark, d):
     """How often cells and rows of the two systems differ, with margins of error."""
     return statistics.error_rates(_entries(spark, d), _entries(spark, d, "classified_lines_b"), "row_id", _CELLS)
@@ -579,7 +589,7 @@ def error_rates(spark, d):
 
 @_query(f"""with m as (select {", ".join(f"(a.{c} is distinct from b.{c})::int as d_{c}" for c in _CELLS)} from {_E} a join {_EB} b on a.row_id = b.row_id),
   g as ({" union all ".join(f"select '{c}' as grp, count(*) as n, sum(d_{c})::bigint as n_errors from m" for c in _CELLS)})
-  select grp, n, n_errors, pow(n_errors - n * 0.005, 2) / (n * 0.005) + pow(n * 0.005 - n_errors, 2) / (n - n * 0.005) as chi2 from g""")
+  select grp, n, n_errors, pow(n_errors - n * 0.005, 2) / (n * 0.005) + pow(n * 0.005 - n_errors, 2) / (n - n * 0.005) as chi2 from g""", rounded=('chi2',))
 def chi_square_statistic(spark, d):
     rates = statistics.error_rates(_entries(spark, d), _entries(spark, d, "classified_lines_b"), "row_id", _CELLS).where("grp not like '(%'")
     return statistics.chi_square(rates.select("grp", "n", "n_errors")).select("grp", "n", "n_errors", "chi2")
