@@ -74,7 +74,7 @@ def _query(sql: str | None = None, rounded: tuple[str, ...] = ()):
 # --- expressions over columns ---------------------------------------------------------------------------
 
 
-@_query("""select doc_id, k - 1 as line_no, ls[k] as line from (
+@_query("""select doc_id, (k - 1)::int as line_no, ls[k] as line from (
   select doc_id, string_split(text, chr(10)) as ls, unnest(range(1, len(string_split(text, chr(10))) + 1)) as k from documents)""")
 def explode_lines(spark, d):
     """Texts to lines with their ordinal."""
@@ -324,7 +324,7 @@ def doctor_counts(spark, d):
 
 @_query("""with a as (select user_id, event_id, row_number() over (partition by user_id order by ts, event_id) as i from events),
   b as (select user_id, event_id, row_number() over (partition by user_id order by value, event_id) as i from events)
-  select a.user_id, a.i as position, a.event_id as by_time, b.event_id as by_value from a join b on a.user_id is not distinct from b.user_id and a.i = b.i""")
+  select a.user_id, a.i::int as position, a.event_id as by_time, b.event_id as by_value from a join b on a.user_id is not distinct from b.user_id and a.i = b.i""")
 def positional_join(spark, d):
     """The i-th event of a user in time beside the i-th by value."""
     e = load(spark, d, "events").select("user_id", "event_id", "ts", "value")
@@ -357,7 +357,7 @@ def ids_left_over(spark, d):
 
 @_query(f"""with o as (select pub, page, col, string_agg(regexp_replace(coalesce(text, ''), '[ \\t\\r\\n-]', '', 'g'), '' order by line_no) as a from {_L} group by all),
   c as (select publication as pub, page_number as page, col_no as col, string_agg(regexp_replace(coalesce(full_text, ''), '[ \\t\\r\\n-]', '', 'g'), '' order by row_id) as b from {_E} group by all)
-  select pub, page, col, length(a) as ocr_chars, length(b) as entry_chars, a = b as kept from o join c using (pub, page, col)""")
+  select pub, page, col, length(a)::int as ocr_chars, length(b)::int as entry_chars, a = b as kept from o join c using (pub, page, col)""")
 def text_kept(spark, d):
     """Per column the text of its lines and of its entries, in order, without blanks and hyphens."""
     plain = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[ \t\r\n-]", "")
