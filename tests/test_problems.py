@@ -99,6 +99,15 @@ def test_orphans(spark, rows):
     assert rows(orphan_report(full).where("reason = 'inherited'"), "table_name", "period", "direct", "inherited") == [("doctors", "2025-02", 0, 2)]
 
 
+def test_hot_keys_are_split_without_a_change(spark, rows):
+    at = [dt(2025, 1, 1 + k % 28) for k in range(600)]
+    doctors = [(k, f"d{k}", "c1" if k % 3 else f"c{k % 7}", at[k], None) for k in range(600)]
+    cities = [(1, "c1", "l1", dt(2025, 1, 15), None), (2, "c2", "l1", D1, D2), (3, "c3", "l9", D1, None)]
+    t, refs = _graph(spark, [(1, "l1", None, D1, None)], cities, doctors)
+    whole = rows(direct_orphans(t, refs))
+    assert len(whole) > 200 and rows(direct_orphans(t, refs, hot=10)) == whole
+
+
 def test_orphans_in_a_circle_and_empty(spark):
     s = "row_id bigint, entry_id string, ref string, at timestamp_ntz"
     loop = Table(spark.createDataFrame([(1, "a", "b", D1), (2, "b", "a", D1), (3, "c", "x", D1), (4, "d", "c", D1), (5, "e", "d", D1)], s), "row_id", "entry_id", "at")
