@@ -194,3 +194,13 @@ def odd_rows(df: DataFrame, key: str, text: str, version: str | None = None) ->
     del names
     latest = flags.mapInArrow(run, kind).groupBy("key_id").agg(F.max(F.struct("_v", "odd")).alias("m"))
     return latest.where("m.odd").select("key_id")
+
+
+def one_forms(df: DataFrame, key: str, text: str, version: str) -> DataFrame:
+    """Rows (key_id, one_form, odd), one for each key: its text in one form, whether or not it was odd.
+
+    Of several rows of a key the one with the greatest `version` counts, of equal ones an odd one, as in
+    `odd_rows`. Null texts give null and false, empty ones stay empty. One shuffle, of the texts by key."""
+    formed = with_one_form(df.select(F.col(key).alias("key_id"), F.col(version).alias("_v"), F.col(text).alias("_t")), "_t")
+    latest = formed.groupBy("key_id").agg(F.max(F.struct("_v", "odd", "one_form")).alias("m"))
+    return latest.select("key_id", "m.one_form", "m.odd")

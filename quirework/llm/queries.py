@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm.addresses import members, same_forms, same_locations
 from quirework.llm.leaks import PASSAGE, leaks
-from quirework.llm.lookalikes import odd_rows, with_one_form
+from quirework.llm.lookalikes import odd_rows, one_forms
 from quirework.llm.mixture import mixture
 from quirework.llm.places import locate
 from quirework.llm.scan_noise import entry_noise, learn, line_noise, mended, noise_kinds
@@ -70,8 +70,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_one_form(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "ocr_lines").select("line_id", "text")
-    return with_one_form(lines, "text").where("odd").select("line_id", "one_form").distinct()
+    """Every text of both tables in one form, and whether it held odd characters."""
+    lines = one_forms(load(spark, sf_dir, "ocr_lines"), "line_id", "text", "scanned_at")
+    entries = one_forms(load(spark, sf_dir, "classified_lines"), "row_id", "full_text", "loaded_at")
+    return lines.select(F.lit("ocr_lines").alias("table_name"), "*").unionByName(
+        entries.select(F.lit("classified_lines").alias("table_name"), "*")
+    )
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

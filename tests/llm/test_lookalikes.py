@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from quirework.llm.arrow_text import code_points, to_arrow
-from quirework.llm.lookalikes import flagged, normalise_array, odd_rows, with_one_form
+from quirework.llm.lookalikes import flagged, normalise_array, odd_rows, one_forms, with_one_form
 
 CASES = [
     ("plain text; 9-11, 2;30-4 ▼ ⊕ ◊ ★ † ♁ ‡ △ — é", None), ("ＷＩＬＬＩＡＭ １２", "WILLIAM 12"), ("oﬃce ﬁne", "office fine"), ("Mе.7", "Me.7"), ("ΑΒ", "AB"),
@@ -69,3 +69,18 @@ def test_rows_versions_and_nulls(spark, rows):
     assert got.columns == ["id", "t", "v", "one_form", "odd"] and rows(got, "id", "one_form", "odd") == sorted(
         [(1, "a", True), (1, "a", False), (2, "a", False), (2, "a", True), (3, None, False), (4, "", False)], key=repr
     )
+
+
+def test_one_form_of_every_key(spark, rows):
+    df = spark.createDataFrame([(1, "ａ", 1), (1, "b", 2), (2, "plain", 1), (2, "plain", 1), (3, None, 1), (4, "", 1), (5, "а", None)], "id bigint, t string, v int")
+    assert rows(one_forms(df, "id", "t", "v")) == [(1, "b", False), (2, "plain", False), (3, None, False), (4, "", False), (5, "a", True)]
+    assert one_forms(df.limit(0), "id", "t", "v").count() == 0
+
+
+def test_one_form_of_both_tables(spark, tmp_path, rows):
+    from quirework.llm.queries import p5_one_form
+
+    spark.createDataFrame([(1, "ﬁne", 1), (2, "fine", 1)], "line_id bigint, text string, scanned_at int").write.parquet(f"{tmp_path}/ocr_lines.parquet")
+    spark.createDataFrame([(1, "x", 1), (1, "ｙ", 2)], "row_id bigint, full_text string, loaded_at int").write.parquet(f"{tmp_path}/classified_lines.parquet")
+    want = [("classified_lines", 1, "y", True), ("ocr_lines", 1, "fine", True), ("ocr_lines", 2, "fine", False)]
+    assert rows(p5_one_form(spark, str(tmp_path)), "table_name", "key_id", "one_form", "odd") == want
