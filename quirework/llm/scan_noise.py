@@ -6,7 +6,7 @@ import functools
 import re
 import zlib
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +47,11 @@ LICENSE = re.compile(r"\([1I|!i](?= ?(?:\d\d|t)\)|$)")
 #: A word is known if it makes up this share of all words and stands there twice; so at most 1 / KNOWN are kept.
 KNOWN = 1e-6
 #: A word belongs to running heads if it stands at the edge of a column in this share of its places, so many
-#: times at least, and makes up this share of all words there; so at most 1 / EDGE_RARE are kept.
+#: times at least, and makes up this share of all words there; judged over all publications, and within each for
+#: its own heads. So at most 1 / EDGE_RARE are kept, and as many of a publication.
 EDGE_SHARE, EDGE_LEAST, EDGE_RARE = 0.2, 5, 1e-5
-#: A shape of line repeats at page edges if it is found on so many pages, or in this share of all edges.
+#: A shape of line repeats at page edges if it is found on so many pages and in this share of the edges, either of
+#: all or of one publication, whose own it is then. So at most 1 / SHARE are kept, and as many of a publication.
 PAGES, SHARE = 3, 2e-4
 
 #: Lines of a page that are held at once. No printed page comes near it; a larger group, such as all lines without
@@ -154,12 +156,13 @@ def _hint(s: str) -> str:
 
 @dataclass(frozen=True)
 class NoiseModel:
-    """What was learnt from the corpus: known words (hashes, sorted), shapes of running heads, and for each
-    publication how far its page numbers are ahead of the pages."""
+    """What was learnt from the corpus: known words (hashes, sorted), shapes of running heads, for each
+    publication how far its page numbers are ahead of the pages, and shapes that are only its own."""
 
     words: np.ndarray
     shapes: tuple[str, ...]
     ahead: dict[str, int]
+    own: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def knows(self, word: str) -> bool:
         if not len(self.words):
@@ -168,13 +171,16 @@ class NoiseModel:
         k = int(np.searchsorted(self.words, h))
         return k < len(self.words) and int(self.words[k]) == h
 
+    def shapes_of(self, pub: str) -> tuple[str, ...]:
+        return self.shapes + self.own.get(pub, ())
+
     def heads_of(self, pub: str) -> re.Pattern[str] | None:
         """One pattern for all running heads of a publication, found anywhere in a text."""
         name = _publication(pub)
         fuzzy = "|".join(sorted({_fuzzy(n) for n in (pub, pub.upper())}, key=len, reverse=True))
         p = rf"(?:(?<![^\W_])(?:{fuzzy})(?![^\W_])|{name})" if pub else r"(?!)"
         out = []
-        for s in sorted(self.shapes, key=len, reverse=True):
+        for s in sorted(self.shapes_of(pub), key=len, reverse=True):
             parts = s.split(" ")
             if parts == ["W", "—", "P"]:
                 if pub:
@@ -197,10 +203,12 @@ class Reader:
         self.variants = variants()
         self.forms = frozenset(self.variants)
         #: For each shape characters of it that no scanner takes for others: a text without any has no running head.
-        self.hints = tuple({_hint(s) for s in model.shapes})
+        self.hints: dict[str, tuple[str, ...]] = {}
 
     def head(self, text: str, pub: str) -> re.Match[str] | None:
-        if not any(h in text for h in self.hints):
+        if pub not in self.hints:
+            self.hints[pub] = tuple({_hint(s) for s in self.model.shapes_of(pub)})
+        if not any(h in text for h in self.hints[pub]):
             return None
         if pub not in self.heads:
             self.heads[pub] = self.model.heads_of(pub)
@@ -414,7 +422,8 @@ def learn(lines: DataFrame, entries: DataFrame) -> NoiseModel:
     """The model of all lines (pub, page, col, line_no, text) and entries (full_text).
 
     Counts run over all rows; what reaches the driver is bounded by parameters: known words (1 / KNOWN),
-    words and shapes of running heads (at most 1 / SHARE of the latter), and one number per publication.
+    words and shapes of running heads (at most 1 / SHARE of the latter, and as many of a publication), and one
+    number per publication.
     """
     texts = lines.select(F.col("text").alias("t")).unionByName(entries.select(F.col("full_text").alias("t")))
     counts = cut(texts.select(F.explode(F.regexp_extract_all("t", F.lit(WORDS), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n")).where("n > 1"))
@@ -425,40 +434,60 @@ def learn(lines: DataFrame, entries: DataFrame) -> NoiseModel:
         F.min(F.struct("line_no", "text")).alias("first"), F.max(F.struct("line_no", "text")).alias("last")
     )
     edges = cut(ends.select("pub", "page", F.explode(F.array("first.text", "last.text")).alias("text")))
-    at_edge = edges.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<!\p{L})\p{L}{2,}+"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("e"))
-    least = max(EDGE_LEAST, EDGE_RARE * (at_edge.agg(F.sum("e")).first()[0] or 0))
-    often = at_edge.where(F.col("e") >= least)
-    words = lines.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<!\p{L})\p{L}{2,}+"), F.lit(0))).alias("w"))
-    seen = words.join(often, "w", "left_semi").groupBy("w").agg(F.count("*").alias("n"))
-    heads = frozenset(r[0] for r in often.join(seen, "w").where(F.col("e") >= EDGE_SHARE * F.col("n")).select("w").collect())
+    word = F.explode(F.regexp_extract_all("text", F.lit(r"(?<!\p{L})\p{L}{2,}+"), F.lit(0))).alias("w")
+    pub = F.coalesce("pub", F.lit("")).alias("pub")
+    at_edge = cut(edges.select(pub, word).groupBy("pub", "w").agg(F.count("*").alias("e")))
+    totals = at_edge.groupBy("pub").agg(F.sum("e").alias("words"))
+    least = max(EDGE_LEAST, EDGE_RARE * (totals.agg(F.sum("words")).first()[0] or 0))
+    often = at_edge.groupBy("w").agg(F.sum("e").alias("e")).where(F.col("e") >= least).select("w")
+    often_own = at_edge.join(totals, "pub").where(F.col("e") >= F.greatest(F.lit(EDGE_LEAST), EDGE_RARE * F.col("words")))
+    seen = lines.select(pub, word).join(often.union(often_own.select("w")).distinct(), "w", "left_semi").groupBy("pub", "w").agg(F.count("*").alias("n"))
+    placed = cut(seen.join(at_edge, ["pub", "w"], "left").na.fill(0, ["e"]))
+    mostly = F.col("e") >= EDGE_SHARE * F.col("n")
+    heads = frozenset(r[0] for r in placed.groupBy("w").agg(F.sum("e").alias("e"), F.sum("n").alias("n")).join(often, "w").where(mostly).select("w").collect())
+    heads_own: dict[str, frozenset[str]] = {}
+    for r in placed.where(mostly).join(often_own.select("pub", "w"), ["pub", "w"]).groupBy("pub").agg(F.collect_list("w").alias("ws")).collect():
+        heads_own[r.pub] = heads | frozenset(r.ws)
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple[str, str, int | None, int | None]] = []
+            out: list[tuple[str, str, str, int | None, int | None]] = []
             for t, p, g in zip(normalise_array(b.column("text")).to_pylist(), b.column("pub").to_pylist(), b.column("page").to_pylist()):
                 if not t:
                     continue
                 s = shape(t, p or "", heads)
+                own = shape(t, p, heads_own[p]) if p in heads_own else s
                 ahead = None
-                if g is not None and (s == "9" or usable(s)):
+                if g is not None and (s == "9" or usable(s) or usable(own)):
                     numbers = re.findall(r"\d+", repair_mixed(t))
                     ahead = int(numbers[0]) - g if len(numbers) == 1 and len(numbers[0]) < 6 else None
-                out.append((s, p or "", g, ahead))
+                out.append((s, own, p or "", g, ahead))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out) if out else ((), (), (), ()), (pa.string(), pa.string(), pa.int64(), pa.int64()))],
-                ["shape", "pub", "page", "ahead"],
+                [pa.array(c, k) for c, k in zip(zip(*out) if out else ((), (), (), (), ()), (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))],
+                ["shape", "own", "pub", "page", "ahead"],
             )
 
-    shaped = cut(edges.mapInArrow(shapes, "shape string, pub string, page bigint, ahead bigint"))
+    shaped = cut(edges.mapInArrow(shapes, "shape string, own string, pub string, page bigint, ahead bigint"))
     n_edges = shaped.count()
     repeated = (
         shaped.groupBy("shape").agg(F.count("*").alias("n"), F.countDistinct("pub", "page").alias("pages"))
         .where((F.col("pages") >= PAGES) & (F.col("n") >= SHARE * n_edges)).select("shape").collect()
     )
+    in_own = shaped.groupBy("pub").agg(F.count("*").alias("edges"))
+    repeated_own = (
+        shaped.select("pub", "page", F.explode(F.array_distinct(F.array("shape", "own"))).alias("shape"))
+        .groupBy("pub", "shape").agg(F.count("*").alias("n"), F.countDistinct("page").alias("pages")).join(in_own, "pub")
+        .where((F.col("pages") >= PAGES) & (F.col("n") >= SHARE * F.col("edges"))).select("pub", "shape").collect()
+    )
+    shared = {r[0] for r in repeated if usable(r[0])}
+    own: dict[str, tuple[str, ...]] = {}
+    for p, x in sorted(repeated_own):
+        if x not in shared and usable(x):
+            own[p] = (*own.get(p, ()), x)
     votes = shaped.where("ahead is not null").groupBy("pub", "ahead").agg(F.count("*").alias("n"))
     best = votes.groupBy("pub").agg(F.max(F.struct("n", "ahead")).alias("b")).where("b.n > 1").select("pub", "b.ahead").collect()
     return NoiseModel(
-        np.unique(np.array([_hash(w) for w in known], np.uint64)), tuple(sorted(r[0] for r in repeated if usable(r[0]))), {r[0]: r[1] for r in best}
+        np.unique(np.array([_hash(w) for w in known], np.uint64)), tuple(sorted(shared)), {r[0]: r[1] for r in best}, own
     )
 
 

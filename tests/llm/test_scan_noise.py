@@ -63,3 +63,15 @@ def test_a_small_book(spark, rows):
     assert {r.row_id: r.clean for r in mended(entries, model).where("loaded_at = 1").collect()} == {1: "Kay, H.", 2: "", 3: None, 4: ""}
     nothing = learn(lines.limit(0), entries.limit(0))
     assert line_noise(lines.limit(0), nothing).count() == 0 and entry_noise(entries.limit(0), nothing).count() == 0 and nothing.shapes == ()
+
+
+def test_heads_of_a_small_publication_beside_a_large_one(spark, rows):
+    kind = "line_id bigint, pub string, page int, col int, line_no int, text string"
+    small = [(p * 10 + k, "Maine", p, 0, k, t) for p in range(1, 7) for k, t in enumerate([f"LIST OF HEALERS {900 + p}", "Kay, Hugh", "5 Oak St.", f"Moss {'abcdefg'[p] * 5}, Ida"])]
+    large = spark.range(20_000).selectExpr("id + 1000 as line_id", "'Ohio' as pub", "cast(id as int) as page", "0 as col", "0 as line_no", "array_join(transform(sequence(1, 30), k -> translate(id * 30 + k + 1000, '0123456789', 'abcdefghij')), ' ') as text")
+    lines = spark.createDataFrame([*small, (99, "Ohio", 1, 0, -1, "LIST OF HEALERS 12")], kind).unionByName(large)
+    entries = spark.createDataFrame([(1, "Maine", 3, "Kay, 903 LIST OF HEALERS 903 H.", 1), (2, "Ohio", 3, "LIST OF HEALERS 903", 1)], "row_id bigint, publication string, page_number int, full_text string, loaded_at int")
+    model = learn(lines, entries)
+    assert model.shapes == () and model.own == {"Maine": ("=LIST =OF =HEALERS 9",)} and model.ahead["Maine"] == 900
+    assert rows(noise_kinds(line_noise(lines, model)).where("kind = 'header'")) == [(p * 10, "header") for p in range(1, 7)]
+    assert rows(noise_kinds(entry_noise(entries, model))) == [(1, "header")]
