@@ -59,8 +59,8 @@ PAGES, SHARE = 3, 2e-4
 HELD = 20_000
 
 WORDS = r"(?<!\p{L})\p{L}{2,}+(?=[\s,;.)])"
-NUMBER_LINE = re.compile(r"\s*(?:([—–-]\s*)?(\d{1,4})(\s*[—–-])?|\[\s*(\d{1,4})\s*\]|(?:[Pp]age|[Pp]\.)\s*(\d{1,4})|(\d{1,4})\.)\s*")
-NUMBER_INSIDE = re.compile(r"(?:[—–-]\s+(\d{1,4})\s+[—–-]|\[\s*(\d{1,4})\s*\]|(?<!\w)(?:[Pp]age|[Pp]\.)\s*(\d{1,4}))(?!\d)")
+NUMBER_LINE = re.compile(r"\s*(?:([—–-]\s*)?(\d{1,5})(\s*[—–-])?|\[\s*(\d{1,5})\s*\]|(?:[Pp]age|[Pp]\.)\s*(\d{1,5})|(\d{1,5})\.)\s*")
+NUMBER_INSIDE = re.compile(r"(?:[—–-]\s+(\d{1,5})\s+[—–-]|\[\s*(\d{1,5})\s*\]|(?<!\w)(?:[Pp]age|[Pp]\.)\s*(\d{1,5}))(?!\d)")
 LETTERS_ONLY = re.compile(r"[^\W\d_]{2,}")
 INNER_HINT = re.compile(r"-[a-zà-ÿ]")
 BREAK = re.compile(r"(?<![^\W\d_])([^\W\d_]+)-(\s+|$)([^\W\d_]*)(\.?)")

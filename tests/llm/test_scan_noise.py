@@ -75,3 +75,10 @@ def test_heads_of_a_small_publication_beside_a_large_one(spark, rows):
     assert model.shapes == () and model.own == {"Maine": ("=LIST =OF =HEALERS 9",)} and model.ahead["Maine"] == 900
     assert rows(noise_kinds(line_noise(lines, model)).where("kind = 'header'")) == [(p * 10, "header") for p in range(1, 7)]
     assert rows(noise_kinds(entry_noise(entries, model))) == [(1, "header")]
+
+
+@pytest.mark.parametrize(("text", "want"), [("14211", PAGE_NUMBER), ("— 14211 —", PAGE_NUMBER), ("Page 14211", PAGE_NUMBER), ("Kay, H. [14211] (l 91)", PAGE_NUMBER), ("14212", 0), ("142111", 0)])
+def test_page_numbers_of_five_digits(text, want):
+    r = Reader(NoiseModel(MODEL.words, SHAPES, {"Maine": 900}))
+    assert r.entry(text, "Maine", 13311) == want
+    assert r.mend("Kay, H. [14211] (l 91)", "Maine", 13311) == "Kay, H. (l 91)"
