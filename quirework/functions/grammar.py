@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STATE, CITY, DOC_START, DOC_TO_ADDR, DOC_TO_OFF, DOC_FULL, UNKNOWN = "STATE CITY DOC_START DOC_TO_ADDR DOC_TO_OFF DOC_FULL UNKNOWN".split()
-#: Lines longer than this are not tried against the nested patterns: no printed entry comes near it.
-LONGEST = 2000
 
 #: The printed forms of the fields. Fixed values.
 BIRTH = r"\(b['\s]?(\d\d)\)"
@@ -25,13 +23,24 @@ YEAR = r"'\s?\d\d"
 SCHOOL_STATE = r"(?:[A-Z][a-z]{1,3}|[O0]|(?:N\.\s?Y|D\.\s?C|N\.\s?H|N\.\s?C|S\.\s?C))\.?"
 SCHOOL_CODE = rf"{SCHOOL_STATE}\s?(?:[1-9lI]\d?\s?,?|\*)\s?(?:{YEAR}|\*)"
 LICENCE = r"\((?:[lI][\s'](\d\d|t)|(♁))\)\s?;?"
-PLACE = r"[A-Z1-9][\w\s.,'&½-]+?[A-Za-z][\w\s.'&-]+"
+
+
+def _place(first: str, letter: str, more: str, stops: str, least: int) -> str:
+    """A place: `first`, then signs of `more` and `stops`, with a letter that is at least the third sign and has
+    no stop and at least `least` signs behind it. Read without going back, so that texts of any length take
+    time in proportion: up to the last stop if there is one, then to the first letter, then to the end."""
+    other = rf"(?:(?![{letter}])[{more}])*+"
+    rest = rf"[{letter}][{more}]{'*+' if not least else f'{{{least},}}+'}"
+    return rf"[{first}](?:(?:[{more}]*+[{stops}])++{other}{rest}|[{more}]{other}{rest})"
+
+
+PLACE = _place("A-Z1-9", "A-Za-z", r"\w\s.'&-", ",½", 1)
 RURAL = r"R. ?D.?[1-9]?"
 HOUR = r"[1-9]\d?(?:\s?;30)?"
 HOURS = rf"(?:{HOUR}[.-]\s?{HOUR}|(?:until|after)\s?[1-9]\d?)"
 SOCIETY = r"\(([A-G][1-9][A-G0-9,]*?)\)"
 SPECIALTIES = "S Ob G ObG Or Pr Op A LR ALR OALR U D Pd N P NP I l T Anes CP R Path Bact PH".split()
-SPECIALTY = rf"(?:{'|'.join(SPECIALTIES)})[*★]?"
+SPECIALTY = rf"(?:{'|'.join(sorted(SPECIALTIES, key=len, reverse=True))})[*★]?"
 
 STATE_LINE = r"[A-Z\s]+"
 CITY_LINE = r"([a-zA-Z\s.,()']+),\s?(?:(?:([0-9,]+?)|-),\s?)?([a-zA-Z().\s-]+)"
@@ -64,8 +73,8 @@ WIDE = Blocks(
     school=rf"(?:Univ\. of [{_LETTER} ]+; Med\. Faculty, {YEAR}|(?:[A-Z][a-z]{{1,4}}|[O0]|[A-Z]\.\s?[A-Z])\.?\s?(?:\d{{1,2}}|[lI*])(?:\s?,?\s?(?:{YEAR}|\*))?)",
     no_school="[◊△]",
     licence=r"\((?:[lI][\s'](\d\d|t)|([♁‡]))\)\s?;?",
-    place=rf"[{_LETTER[3:]}1-9][\w\s.,'&½/()-]+?[{_LETTER}][\w\s.,'&/()-]*",
-    society=r"\(([A-G]?\d{1,3}(?:,\s?[A-G]?\d{1,3})*)\)",
+    place=_place(f"{_LETTER[3:]}1-9", _LETTER, r"\w\s.,'&/()-", "½", 0),
+    society=r"\(([A-G]?\d{1,3}(?:,\s?[A-G]?\d{1,3})*+)\)",
     rest=r"(?:;?\s?Supt\.,[^;]*)?",
     city_line=rf"([{_LETTER}\s.,()'—-]+?),\s?(?:(?:([0-9,]+?)|-),\s?)?([{_LETTER}().\s'-]+)",
 )
@@ -73,43 +82,33 @@ WIDE = Blocks(
 
 @dataclass(frozen=True)
 class Patterns:
-    to_school: str
-    to_address: str
-    to_office: str
-    full: str
+    """The start of a doctor's entry, a whole one, and the lines of states and cities."""
+
+    start: str
+    whole: str
     state_line: str
     city_line: str
 
 
 def _patterns(b: Blocks) -> Patterns:
-    to_school = (
+    """Repeated groups are read without going back, as what follows them can't begin within them."""
+    start = (
         rf"({b.surname}),\s({b.given})\s?(?:(\(col\.\))\s?)?" + rf"(?:{BIRTH}\s?)?({MARK})\s?"
-        + rf"(?:({b.school}(?:, {b.school})*\s?;)|({b.no_school}));?\s?"
-    )
-    licence = rf"(?:{b.licence})?\s?(not in practice;?\s?)?"
-    address = rf"(?:({b.place}|{RURAL});"
-    office = rf"(?:\s?of(?:- )?fice,\s({b.place});"
-    tail = (
-        rf"(?:({HOURS}(?:[,;]\s?{HOURS}){{0,2}});? ?)?" + rf"(?:{b.society};? ?)?"
-        + rf"(?:({SPECIALTY}(?:, ?{SPECIALTY})*);? ?)?" + r"(▼[GN]?)?" + b.rest
+        + rf"(?:({b.school}(?:, {b.school})*+\s?;)|({b.no_school}));?\s?"
     )
-    end = r"(?<![;-])"
-    start = to_school + licence
-    return Patterns(
-        to_school,
-        start + address + r"?\s?)" + end,
-        start + address + r"?\s?)?" + office + r"?\s?)" + end,
-        start + address + r"? ?)?" + office + r"? ?)?" + tail + end,
-        b.state_line,
-        b.city_line,
+    whole = (
+        start + rf"(?:{b.licence})?\s?(not in practice;?\s?)?" + rf"(?:({b.place}|{RURAL});?\s?)?" + rf"(?:\s?of(?:- )?fice,\s({b.place});?\s?)?"
+        + rf"(?:({HOURS}(?:[,;]\s?{HOURS}){{0,2}});? ?)?" + rf"(?:{b.society};? ?)?" + rf"(?:({SPECIALTY}(?:, ?{SPECIALTY})*+);? ?)?"
+        + rf"(▼[GN]?)?({b.rest})(?<![;-])"
     )
+    return Patterns(start, whole, b.state_line, b.city_line)
 
 
 PATTERNS, WIDE_PATTERNS = _patterns(Blocks()), _patterns(WIDE)
 #: The groups of the full pattern. Fixed by its blocks.
 GROUPS = {
     "last_name": 1, "first_name": 2, "col": 3, "birth": 4, "mark": 5, "schools": 6, "no_school": 7, "licence": 8, "earlier": 9,
-    "no_practice": 10, "address": 11, "office": 12, "hours": 13, "societies": 14, "specialty": 15, "military": 16,
+    "no_practice": 10, "address": 11, "office": 12, "hours": 13, "societies": 14, "specialty": 15, "military": 16, "rest": 17,
 }
 
 
@@ -118,19 +117,25 @@ def _whole(line: Column, pattern: str) -> Column:
 
 
 def line_type(line: Column, patterns: Patterns = PATTERNS) -> Column:
-    """The kind of a line, or of some lines joined, tried in the order of the grammar; null stays null."""
+    """The kind of a line, or of some lines joined, tried in the order of the grammar; null stays null. A whole
+    entry of a doctor is read once, and its kind told from which of its last parts are there: one that ends in
+    its address or in its office may go on in the next line. Texts of any length are read."""
     # What every city and every doctor has is tested first, as it costs little.
-    city = (F.length(line) <= LONGEST) & line.contains(",")
-    doctor = city & line.contains("-")
+    city, doctor = line.contains(","), line.contains(",") & line.contains("-")
+    last = "".join(f"${GROUPS[n]}" for n in ("hours", "societies", "specialty", "military", "rest"))
+    # Where the pattern doesn't match, the line stays as it is; it has no \x01 where it does.
+    parts = F.regexp_replace(line, rf"(?d)\A(?:{patterns.whole})\z", f"${GROUPS['address']}\x01${GROUPS['office']}\x01{last}")
     return (
         F.when(line.isNull(), F.lit(None).cast("string"))
         .when(_whole(line, patterns.state_line), STATE)
         .when(city & _whole(line, patterns.city_line), CITY)
         .when(
-            doctor & _whole(line, patterns.full),
-            F.when(_whole(line, patterns.to_address), DOC_TO_ADDR).when(_whole(line, patterns.to_office), DOC_TO_OFF).otherwise(DOC_FULL),
+            doctor,
+            F.when(
+                parts != line,
+                F.when(parts.rlike(r"(?s)\A[^\x01]+\x01\x01\z"), DOC_TO_ADDR).when(parts.rlike(r"(?s)\A[^\x01]*\x01[^\x01]+\x01\z"), DOC_TO_OFF).otherwise(DOC_FULL),
+            ).when(line.rlike(rf"(?d)\A(?:{patterns.start})"), DOC_START).otherwise(UNKNOWN),
         )
-        .when(doctor & line.rlike(rf"(?d)\A(?:{patterns.to_school})"), DOC_START)
         .otherwise(UNKNOWN)
     )
 

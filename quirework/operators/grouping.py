@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,19 +14,26 @@ FINAL = (STATE, CITY, DOC_FULL)
 PERHAPS = (DOC_TO_ADDR, DOC_TO_OFF)
 
 
-def fold_starts(sizes: Column) -> Column:
-    """Of an array of structs (ordinal from 1, size, ...) in order, those reached by starting at the first and
-    going on by each one's size."""
-    empty = F.struct(F.lit(1).cast("int").alias("next"), F.filter(sizes, lambda _: F.lit(False)).alias("taken"))
-    return F.aggregate(
-        sizes,
-        empty,
-        lambda acc, x: F.when(
-            x["ordinal"] == acc["next"],
-            F.struct((acc["next"] + x["size"]).cast("int").alias("next"), F.concat(acc["taken"], F.array(x)).alias("taken")),
-        ).otherwise(acc),
-        lambda acc: acc["taken"],
-    )
+#: The end of a line that breaks a word in small letters, and how a word goes on.
+BROKEN, GOES_ON = r"(?<=[a-zà-öø-ÿ])-\s*$", r"^\s*[a-zà-öø-ÿ]"
+
+
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lines in order, with `ordinal` counting from 1 in each column and `size`, those reached by starting at
+    the first of a column and going on by each one's size; `ordinal` then counts these. Nothing but the next
+    ordinal is carried from batch to batch."""
+    due, n = 1, 0
+    for b in batches:
+        at, counted = [], []
+        for k, (o, size) in enumerate(zip(b.column("ordinal").to_pylist(), b.column("n_lines").to_pylist())):
+            if o == 1:
+                due, n = 1, 0
+            if o == due:
+                due, n = o + size, n + 1
+                at.append(k)
+                counted.append(n)
+        taken = b.take(pa.array(at, pa.int64()))
+        yield taken.set_column(taken.schema.get_field_index("ordinal"), "ordinal", pa.array(counted, pa.int32()))
 
 
 def group_entries(
@@ -36,6 +44,7 @@ def group_entries(
     most: int = 4,
     kind_of: Callable[[Column], Column] = line_type,
     box: Sequence[str] | None = ("x", "y", "width", "height"),
+    mend: bool = False,
 ) -> DataFrame:
     """Entries (column keys, ordinal, n_lines, entry_type, full_text, box) of the lines of each column.
 
@@ -43,16 +52,32 @@ def group_entries(
     is an entry; else, if a prefix may be complete and the next one is neither final nor there, the shorter
     one is; else, if the last prefix may be complete, it is; else the line alone is UNKNOWN. The entries are
     then taken from the first line on, each starting behind the one before, so that every line belongs to
-    exactly one entry. Null texts count as empty lines. The lines of a column, a printed column of a page,
-    are folded together; columns are spread over the cluster.
+    exactly one entry. Null texts count as empty lines. With `mend`, a word in small letters that is broken
+    at the end of a line is joined when the next one goes on in small letters; else lines are joined by blanks.
+
+    Plan: one shuffle by column, sorted once for the windows and for the walk through the lines, which holds one
+    batch whatever the size of a column. What an entry is made of stands beside its first line already, so
+    nothing is shuffled or joined again.
     """
     keys = list(column)
     window = Window.partitionBy(*keys).orderBy(order)
     own = lines.withColumn("_t", F.coalesce(F.col(text), F.lit(""))).withColumn("ordinal", F.row_number().over(window))
-    ahead = [F.col("_t"), *(F.lead("_t", k).over(window) for k in range(1, most))]
-    own = own.select("*", *(a.alias(f"_l{k}") for k, a in enumerate(ahead)))
+    boxes = list(box) if box else []
+    edges = [] if not box else [("x", F.col(boxes[0]), F.least), ("y", F.col(boxes[1]), F.least), ("_r", F.col(boxes[0]) + F.col(boxes[2]), F.greatest), ("_b", F.col(boxes[1]) + F.col(boxes[3]), F.greatest)]
+    ahead = lambda c, k: F.lead(c, k).over(window) if k else c
+    own = own.select(
+        *keys, "ordinal", *(ahead(F.col("_t"), k).alias(f"_l{k}") for k in range(most)), *(ahead(c, k).alias(f"_{n}{k}") for n, c, _ in edges for k in range(most))
+    )
     # concat, unlike concat_ws, is null as soon as a line is missing.
-    own = own.select("*", *(F.concat(*[x for j in range(k + 1) for x in ((F.lit(" "), F.col(f"_l{j}")) if j else (F.col("_l0"),))]).alias(f"_p{k}") for k in range(most)))
+    for k in range(most):
+        if not k:
+            joined = F.col("_l0")
+        else:
+            before, line = F.col(f"_p{k - 1}"), F.col(f"_l{k}")
+            joined = F.concat(before, F.lit(" "), line)
+            if mend:
+                joined = F.when(before.rlike(BROKEN) & line.rlike(GOES_ON), F.concat(F.regexp_replace(before, BROKEN, ""), F.ltrim(line))).otherwise(joined)
+        own = own.withColumn(f"_p{k}", joined)
     # A longer prefix is classified only where the shorter ones leave it open.
     for k in range(most):
         kind = kind_of(F.col(f"_p{k}"))
@@ -63,34 +88,21 @@ def group_entries(
                 decided = decided | (F.col(f"_k{k - 2}").isin(*PERHAPS) & ~seen.isin(*FINAL))
             kind = F.when(~decided, kind)
         own = own.withColumn(f"_k{k}", kind)
-
-    def decision(k: int) -> tuple[Column, int, str | Column]:
-        return F.col(f"_k{k}"), k + 1, F.col(f"_k{k}")
-
-    choice = None
+    size = kind = None
     for k in range(most):
-        kind, size, name = decision(k)
-        final = F.struct(F.lit(size).alias("size"), name.alias("kind"))
-        choice = F.when(kind.isin(*FINAL), final) if choice is None else choice.when(kind.isin(*FINAL), final)
-        if k:
-            back = F.struct(F.lit(k).alias("size"), F.lit(DOC_FULL).alias("kind"))
-            choice = choice.when(F.col(f"_k{k - 1}").isin(*PERHAPS), back)
-    last = F.struct(F.lit(most).alias("size"), F.lit(DOC_FULL).alias("kind"))
-    choice = choice.when(F.col(f"_k{most - 1}").isin(*PERHAPS), last).otherwise(F.struct(F.lit(1).alias("size"), F.lit(UNKNOWN).alias("kind")))
-    boxes = [F.col(c).alias(c) for c in box] if box else []
-    packed = own.select(*keys, F.struct("ordinal", choice["size"].alias("size"), choice["kind"].alias("kind"), F.col("_t").alias("t"), *boxes).alias("s"))
-    folded = packed.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("all")).select(*keys, "all", F.explode(fold_starts(F.col("all"))).alias("s"))
-    taken = folded.select(*keys, F.col("s.ordinal").alias("first_line"), F.col("s.kind").alias("entry_type"), F.slice("all", F.col("s.ordinal"), F.col("s.size")).alias("ls"))
-    out = [F.size("ls").alias("n_lines"), "entry_type", F.array_join(F.transform("ls", lambda x: x["t"]), " ").alias("full_text")]
+        this = F.col(f"_k{k}")
+        for holds, n, name in ((this.isin(*FINAL), k + 1, this), *(((F.col(f"_k{k - 1}").isin(*PERHAPS), k, F.lit(DOC_FULL)),) if k else ())):
+            size = F.when(holds, n) if size is None else size.when(holds, n)
+            kind = F.when(holds, name) if kind is None else kind.when(holds, name)
+    last = F.col(f"_k{most - 1}").isin(*PERHAPS)
+    sized = own.withColumn("n_lines", size.when(last, most).otherwise(1)).withColumn("entry_type", kind.when(last, DOC_FULL).otherwise(UNKNOWN))
+    by_size = lambda of: F.element_at(F.array(*(of(k) for k in range(most))), F.col("n_lines"))
+    out = [by_size(lambda k: F.col(f"_p{k}")).alias("full_text")]
     if box:
-        x, y, w, h = box
-        left, top = F.array_min(F.transform("ls", lambda s: s[x])), F.array_min(F.transform("ls", lambda s: s[y]))
-        out += [
-            left.alias("x"), top.alias("y"),
-            (F.array_max(F.transform("ls", lambda s: s[x] + s[w])) - left).alias("width"),
-            (F.array_max(F.transform("ls", lambda s: s[y] + s[h])) - top).alias("height"),
-        ]
-    return taken.select(*keys, F.row_number().over(Window.partitionBy(*keys).orderBy("first_line")).alias("ordinal"), *out)
+        edge = {n: by_size(lambda k, n=n, pick=pick: pick(*(F.col(f"_{n}{j}") for j in range(k + 1))) if k else F.col(f"_{n}0")) for n, _, pick in edges}
+        out += [edge["x"].alias("x"), edge["y"].alias("y"), (edge["_r"] - edge["x"]).alias("width"), (edge["_b"] - edge["y"]).alias("height")]
+    ready = sized.select(*keys, "ordinal", "n_lines", "entry_type", *out)
+    return ready.mapInArrow(_starts, ready.schema)
 
 
 def spaced_peaks(values: Column, gap: Column | int | float) -> Column:

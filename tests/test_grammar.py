@@ -1,31 +1,37 @@
-from pyspark.sql import functions as F
+import random
+import time
 
+import printed
 import pytest
+from pyspark.sql import functions as F
 
 from quirework.functions import grammar
-from quirework.functions.grammar import CITY, DOC_FULL, DOC_START, DOC_TO_ADDR, DOC_TO_OFF, STATE, UNKNOWN
-
-LINES = [
-    ("TENNESSEE", STATE), ("NORTH  DAKOTA", STATE),
-    ("East Pinton, 641, Corran", CITY), ("Marlby, -, Dunn", CITY), ("New Harwick, 212,457, Harwick", CITY), ("LOWVIEW (HYLAM P.O.), CARVER", CITY),
-    ("FOXVILLE (R.D., DEXTER), 1871, MORTON", CITY),
-    ("STARR, J. OSCAR (b'81) - Tenn.8,'05;", DOC_START), ("Hollis, B. J. (col.) (b'74)-La.4,'98;", DOC_START),
-    ("POOLE, W. R.-◊ (l'04)", DOC_FULL), ("POOLE, W. R.-◊ (l 04)", DOC_FULL), ("Moss, Elias B.-◊; (l 79); not in practice", DOC_FULL),
-    ("Kerr, Thos. C.-Ky.4,'94; (l 94)", DOC_FULL), ("HALL, EUGENE L. (b 75)+-La.1,'98;(l 96); Lake St.; 9-11,3-5", DOC_FULL),
-    ("ARDEN, PAUL E.-La.1,'83; (l 83); 1220 N. Birch St. ; office, 212 Ash St.; 12-2", DOC_FULL),
-    ("Polk, Wm. R. (b 79)-Tenn.5,'03; (l 07); office, 4d and Murray Sts.", DOC_TO_OFF), ("Wills, L. B.- Pa.2,*; (l 62); 2129 Berlin", DOC_TO_ADDR),
-    ("GRAY, ANDREW LEWIS, JR. (b'88)⊕- Tenn.5,'12; (l 13); D; ▼", DOC_FULL), ("Layton, Jas. B.-La.1,'02; (l 02); 1421 Josephine St.", DOC_TO_ADDR),
-    ("Marks, L. K.- (l 07)", UNKNOWN), ("GORDON, JAMES ADRIAN (b'55)-N.Y.5, '78; (l 83); (A628); S", DOC_FULL), ("Jones, Lee H. (b'74)-Ga.1,'97, Tenn.11,'99; (l t)", DOC_FULL),
-    ("LANE, EDWARD PAXTON (b'57)⊕- Tenn.5,'84; (l 84); 1803, 8th Ave.; office, Realty Bldg", DOC_TO_OFF),
-    ("Christian, James Saml. (b'85)-Ala. 4'13; (l 13); R.D.2", DOC_TO_ADDR), ("Smith, Temple C. (b'92)-Mo.27,'92; (l t); 665 7th St.; office, 818½ Ryan St.; 10-11;30, 2-4;30", DOC_FULL),
-    ("", UNKNOWN), ("1455.", UNKNOWN), (None, None), ("x" * 5000, UNKNOWN),
-]
+from quirework.functions.grammar import CITY, DOC_FULL, DOC_START, DOC_TO_ADDR, STATE, UNKNOWN
+
+
+def _kinds(spark, lines, of):
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(lines)], "k int, t string")
+    got = {r.k: r.kind for r in df.select("k", of(F.col("t")).alias("kind")).collect()}
+    return [(t, got[k]) for k, (t, _) in enumerate(lines)]
 
 
 def test_line_types(spark):
-    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(LINES)], "k int, t string")
-    got = {r.k: r.kind for r in df.select("k", grammar.line_type(F.col("t")).alias("kind")).collect()}
-    assert [(LINES[k][0], got[k]) for k in range(len(LINES))] == LINES
+    rng = random.Random(4)
+    lines = [printed.line(rng) for _ in range(400)] + [("", UNKNOWN), (None, None), ("x" * 5000, UNKNOWN)]
+    assert _kinds(spark, lines, grammar.line_type) == lines
+    assert {k for _, k in lines} == {STATE, CITY, DOC_START, DOC_TO_ADDR, grammar.DOC_TO_OFF, DOC_FULL, UNKNOWN, None}
+
+
+def test_lines_of_any_length(spark):
+    rng = random.Random(5)
+    lines = []
+    for size in (1_958, 2_038, 5_000, 60_000):
+        street = "1 " + "Wex " * (size // 4) + "St."
+        for office, kind in ((False, DOC_TO_ADDR), (True, grammar.DOC_TO_OFF)):
+            parts = printed.doctor(rng, False, False, False)[0]
+            lines += [("; ".join([" ".join(parts), f"office, {street}" if office else street]), kind), ("; ".join([" ".join(parts), street, "9-11"]), DOC_FULL)]
+        lines.append((f"{printed.name(rng)}-{', '.join(printed.school(rng) for _ in range(size // 9))}; (l 04)", DOC_FULL))
+    assert _kinds(spark, lines, grammar.line_type) == lines and _kinds(spark, lines, grammar.wide_line_type) == lines
 
 
 def test_loose_city(spark):
@@ -67,23 +73,20 @@ def test_doctor_udf_keeps_nulls(spark):
 
 
 def test_wide_grammar(spark):
+    rng = random.Random(6)
     wide = [
         ("ÅSKILD, CLARA L.-Wis.6,'83; (l 03)", DOC_FULL), ("VOSBY, EZRA W.-S.D.15,'12, Ky.15,'73; (l 01); 1068 S. Oak Ave.", DOC_TO_ADDR), ("Yarley-Jarvworth, Charles (b'87)-Me.9,'07; (‡); 1-3; (E15,4)", DOC_FULL),
         ("Cromland, Samuel (b'80)-Fla.6; (l 13); D", DOC_FULL), ("Jesry, Anna-Univ. of Yarhurst; Med. Faculty, '72, Fla.6,'78; (l 87)", DOC_FULL), ("Ubburn, Martha H.-△; (l 05); 508 1/2 W. 6th Ave. (res.)", DOC_TO_ADDR),
-        ("Saint-Côme—Continued, 126, D'Orsay Co.", CITY), ("TENNESSEE", STATE), ("Marks, L. K.- (l 07)", UNKNOWN), ("1455.", UNKNOWN), (None, None),
+        ("Saint-Côme—Continued, 126, D'Orsay Co.", CITY), ("1455.", UNKNOWN), (None, None),
     ]
-    strict = [(t, k) for t, k in LINES if k not in (UNKNOWN, None)]
-    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(wide + strict)], "k int, t string")
-    got = {r.k: r.kind for r in df.select("k", grammar.wide_line_type(F.col("t")).alias("kind")).collect()}
-    assert [(t, got[k]) for k, (t, _) in enumerate(wide)] == wide
-    assert all(got[len(wide) + k] != UNKNOWN for k in range(len(strict)))
+    wide += [x for x in (printed.line(rng) for _ in range(200)) if x[1] != UNKNOWN]
+    assert _kinds(spark, wide, grammar.wide_line_type) == wide
 
 
 def test_no_line_takes_long(spark):
-    import time
-
-    hard = ["A" * 1990, "A, " * 600, "A b, c" * 300, "A, B-Ala.1,'0" * 140, "A, B-" + "Ala.1,'01, " * 170, "A, B-◊; " + "1 a " * 480, "A, B-◊; (l 01); " + "1-2, " * 380, "A, B-◊; (A1" + ",A1" * 600, "Univ. of a; " * 160]
+    n = 60_000
+    hard = ["A" * n, "A, " * (n // 3), "A b, c" * (n // 6), "A, B-Ala.1,'0" * (n // 13), "A, B-" + "Ala.1,'01, " * (n // 11), "A, B-◊; " + "1 a " * (n // 4), "A, B-◊; (l 01); " + "1-2, " * (n // 5), "A, B-◊; (A1" + ",A1" * (n // 3), "Univ. of a; " * (n // 12), "A, B-◊; " + "S, " * (n // 3), "A, B-◊; 1" + "½," * (n // 2)]
     df = spark.createDataFrame([(t,) for t in hard], "t string").coalesce(1)
     began = time.time()
     df.select(grammar.line_type(F.col("t")), grammar.wide_line_type(F.col("t"))).collect()
-    assert time.time() - began < 60
+    assert time.time() - began < 30
