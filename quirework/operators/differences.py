@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quirework.runtime import cut
+
 #: Characters dropped around a string before it is compared: blank, tab and line ends.
 OUTER = " \t\r\n"
 
@@ -38,57 +40,57 @@ def copy_differences(
     kind is `missing_in_a` or `missing_in_b` with field `*`, or `differs` with the name of the field.
     Compared are the columns that both sides have, but the key, `version` and those in `ignore`; columns
     of one side only are no difference. Per key the row with the greatest `version` counts (a null version
-    is least; among equal versions, and without `version`, the greatest row). A field that is a number on
-    either side is compared as a number, others as text without outer blanks, tabs and line ends; null
-    equals the empty string. A null key matches nothing: such rows are reported as missing on the other
-    side unless an equal row is there. Empty tables are fine.
-
-    Plan: one shuffle by key, after a map-side aggregate that keeps one row per key and side, so that a
-    key with very many versions costs one row per task. The rows that count are then cancelled as EXCEPT
-    ALL does it, as signed multiset counts of whole normalised rows, here for both directions at once;
-    the two residues are full-joined by key. Both steps reuse the partitioning by key.
+    is least; among equal versions, and without `version`, the row with the greatest fingerprint). A field
+    that is a number on either side is compared as a number, others as text without outer blanks, tabs and
+    line ends; null equals the empty string. A null key matches no key: rows without one are a multiset on
+    each side, of which each row that the other side has less often is reported as missing there, as often as
+    it is missing. Empty tables are fine.
+
+    Plan: rows are told apart by fingerprints of 128 bits of their normalised fields, so that only keys,
+    versions and fingerprints are shuffled, one row per key and side and task. EXCEPT ALL is taken in both
+    directions at once, as signed counts of (key, fingerprint), and the two residues are full-joined by key.
+    The fields are then fetched, in a second reading, for the keys whose rows differ, and for these only.
+    Rows without a key are spread by their fingerprints.
     """
     shared = [c for c in left.columns if c in set(right.columns) and c not in {key, version, *ignore}]
     kinds = {c: (left.schema[c].dataType, right.schema[c].dataType) for c in shared}
     names = [f"f{i}" for i in range(len(shared))]
 
-    def side(df: DataFrame, sign: int) -> DataFrame:
-        fields = [
-            (_number if any(map(_is_number, kinds[c])) else _text)(df[c]).alias(n) for c, n in zip(shared, names)
-        ]
+    def side(df: DataFrame) -> DataFrame:
+        fields = [(_number if any(map(_is_number, kinds[c])) else _text)(df[c]).alias(n) for c, n in zip(shared, names)]
         when = df[version] if version else F.lit(None).cast("string")
-        row = F.struct(when.alias("v"), F.struct(*fields, F.lit("").alias("end")).alias("row"))
-        return df.select(
-            df[key].alias("key_id"),
-            (row if sign > 0 else F.lit(None)).alias("a"),
-            (row if sign < 0 else F.lit(None)).alias("b"),
-        )
-
-    both = side(left, 1).unionByName(side(right, -1))
-    counting = both.groupBy("key_id").agg(F.max("a").alias("a"), F.max("b").alias("b"))
-    signed = counting.select(
-        "key_id",
-        F.explode(
-            F.array(
-                F.struct(F.lit(1).alias("sign"), F.col("a.row").alias("row")),
-                F.struct(F.lit(-1).alias("sign"), F.col("b.row").alias("row")),
-            )
-        ).alias("s"),
-    ).where("s.row is not null")
-    counted = signed.groupBy("key_id", F.col("s.row").alias("row")).agg(F.sum("s.sign").alias("n"))
-    only_a = counted.where("n > 0").select(F.col("key_id"), F.col("row").alias("a"))
-    only_b = counted.where("n < 0").select(F.col("key_id").alias("key_b"), F.col("row").alias("b"))
+        rows = df.select(df[key].alias("key_id"), when.alias("v"), *fields)
+        return rows.select("*", *(F.xxhash64(F.lit(seed), *names).alias(f"h{seed}") for seed in (1, 2)))
+
+    a, b = side(left), side(right)
+    print_of = F.struct("h1", "h2")
+    marked = [
+        df.select("key_id", (F.struct("v", print_of.alias("h")) if df is a else F.lit(None)).alias("a"), (F.struct("v", print_of.alias("h")) if df is b else F.lit(None)).alias("b"))
+        for df in (a, b)
+    ]
+    counting = marked[0].unionByName(marked[1]).where("key_id is not null").groupBy("key_id").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    each = F.array(*(F.struct(F.lit(sign).alias("sign"), F.col(f"{c}.h").alias("h")) for c, sign in (("a", 1), ("b", -1))))
+    signed = counting.select("key_id", F.explode(each).alias("s")).where("s.h is not null")
+    counted = signed.groupBy("key_id", F.col("s.h").alias("h")).agg(F.sum("s.sign").alias("n"))
+    only_a = counted.where("n > 0").select(F.col("key_id"), F.col("h").alias("a"))
+    only_b = counted.where("n < 0").select(F.col("key_id").alias("key_b"), F.col("h").alias("b"))
     joined = only_a.join(only_b, F.col("key_id") == F.col("key_b"), "full_outer")
-    changed = [F.when(F.col(f"a.{n}") != F.col(f"b.{n}"), F.lit(c)) for c, n in zip(shared, names)]
-    fields = F.array_compact(F.array(*changed)) if changed else F.array().cast("array<string>")
-    return (
-        joined.select(
-            F.coalesce("key_id", "key_b").alias("key_id"),
-            F.when(F.col("a").isNull(), "missing_in_a")
-            .when(F.col("b").isNull(), "missing_in_b")
-            .otherwise("differs")
-            .alias("kind"),
-            F.when(F.col("a").isNull() | F.col("b").isNull(), F.array(F.lit("*"))).otherwise(fields).alias("fields"),
-        )
-        .select("key_id", F.explode("fields").alias("field"), "kind")
+    residues = cut(joined.select(F.coalesce("key_id", "key_b").alias("key_id"), "a", "b"))
+
+    without = a.select("h1", "h2", F.lit(1).alias("sign"), "key_id").unionByName(b.select("h1", "h2", F.lit(-1).alias("sign"), "key_id")).where("key_id is null")
+    unkeyed = without.groupBy("h1", "h2").agg(F.sum("sign").alias("n")).where("n <> 0")
+    one_sided = residues.where("a is null or b is null").select("key_id", F.when(F.col("a").isNull(), "missing_in_a").otherwise("missing_in_b").alias("kind")).unionByName(
+        unkeyed.select(F.lit(None).cast(residues.schema["key_id"].dataType).alias("key_id"), F.explode(F.array_repeat(F.when(F.col("n") < 0, "missing_in_a").otherwise("missing_in_b"), F.abs("n").cast("int"))).alias("kind"))
     )
+    missing = one_sided.select("key_id", F.lit("*").alias("field"), "kind")
+    if not shared:
+        return missing
+
+    def fetched(df: DataFrame, column: str) -> DataFrame:
+        wanted = residues.where("a is not null and b is not null").select(F.col("key_id").alias("k_"), F.col(f"{column}.h1").alias("p1"), F.col(f"{column}.h2").alias("p2"))
+        met = df.join(wanted, (F.col("key_id") == F.col("k_")) & (F.col("h1") == F.col("p1")) & (F.col("h2") == F.col("p2")), "left_semi")
+        return met.groupBy("key_id").agg(F.max(F.struct(*names)).alias(column))
+
+    both = fetched(a, "a").join(fetched(b, "b"), "key_id")
+    changed = F.array_compact(F.array(*(F.when(F.col(f"a.{n}") != F.col(f"b.{n}"), F.lit(c)) for c, n in zip(shared, names))))
+    return missing.unionByName(both.select("key_id", F.explode(changed).alias("field"), F.lit("differs").alias("kind")))

@@ -32,6 +32,19 @@ def test_differences_of_empty_tables_and_null_keys(spark, rows):
     assert copy_differences(one, same, "id", "at").count() == 0
 
 
+def test_rows_without_a_key_are_a_multiset(spark, rows):
+    a = spark.createDataFrame([(None, 1, "x", D1, "", 1)] * 3 + [(None, 2, "y", D2, "", 1), (7, 1, "x", D1, "", 1)], A)
+    b = spark.createDataFrame([(None, "1", "x", D3, 1), (None, "4", "z", D1, 1), (None, "4", "z", D2, 1)], B)
+    want = [(None, "*", "missing_in_a")] * 2 + [(None, "*", "missing_in_b")] * 3 + [(7, "*", "missing_in_b")]
+    assert rows(copy_differences(a, b, "id", "at")) == sorted(want, key=repr)
+    assert rows(copy_differences(a, b.limit(0), "id", "at")) == sorted([(None, "*", "missing_in_b")] * 4 + [(7, "*", "missing_in_b")], key=repr)
+
+
+def test_tables_that_share_no_field(spark, rows):
+    a, b = spark.createDataFrame([(1, 2), (3, 4)], "id int, p int"), spark.createDataFrame([(1, 2)], "id int, q int")
+    assert rows(copy_differences(a, b, "id")) == [(3, "*", "missing_in_b")]
+
+
 def test_differences_of_very_long_texts(spark, rows):
     a = spark.createDataFrame([(1, 1, "x" * 300_000, D1, "", 1)], A)
     b = spark.createDataFrame([(1, "1", "x" * 299_999 + "y", D1, 1)], B)
