@@ -58,12 +58,13 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Table], list[Ref
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        orphan_cascade(*_graph(spark, sf_dir))
-        .where("depth = 0")
-        .select("table_name", "row_id", "reason", "period")
-        .distinct()
-    )
+    """The direct orphans, which the cascade starts from."""
+    return orphan_cascade(*_graph(spark, sf_dir), rounds=0).select("table_name", "row_id", "reason", "period").distinct()
+
+
+def p7_inherited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the fixpoint: references to records that are orphaned themselves, and how far away."""
+    return orphan_cascade(*_graph(spark, sf_dir)).where("depth > 0").select("table_name", "row_id", "depth", "period").distinct()
 
 
 def p7_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (p1_found, p1_summary, p2_found, p2_errors, p7_found, p7_direct, p7_report)
+    f.__name__: f for f in (p1_found, p1_summary, p2_found, p2_errors, p7_found, p7_inherited, p7_direct, p7_report)
 }
 
 
@@ -155,6 +156,12 @@ SQL = {
     "p1_summary": f"select table_name, field, kind, count(*) as n from ({_P1}) group by all",
     "p7_found": f"{_DIRECT} select table_name, row_id, reason, period from direct where reason is not null",
     "p7_direct": f"{_DIRECT} select table_name, reason, count(*) as n from direct where reason is not null group by all",
+    "p7_inherited": f"""{_DIRECT.replace("with child", "with recursive child", 1)},
+      fallen as (select table_name, row_id, entry_id, 0 as depth, period from direct where reason is not null
+        union select c.table_name, c.row_id, c.entry_id, f.depth + 1, strftime(c.arrival, '%Y-%m') from child c join fallen f
+          on f.entry_id = c.ref and f.table_name = case c.table_name when 'doc_entries' then 'city_entries' else 'classified_lines' end
+        where not exists (select 1 from direct d where d.table_name = c.table_name and d.row_id = c.row_id and d.reason is not null))
+      select table_name, row_id, min(depth) as depth, min(period) as period from fallen where depth > 0 group by all""",
     "p7_report": f"""{_DIRECT},
       heirs as (select 'doc_entries' as table_name, c.row_id, 'inherited' as reason, strftime(c.arrival, '%Y-%m') as period
                 from child c where c.table_name = 'doc_entries'

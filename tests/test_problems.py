@@ -1,3 +1,4 @@
+import time
 from datetime import datetime as dt
 
 import pytest
@@ -68,13 +69,28 @@ def test_schools(text, want):
     ("text", "want"),
     [
         ("(A44,34)", ["A44", "34"]), ("(B37)(C27)", ["B37", "C27"]), ("[F56/13/G6]", ["F56", "13", "G6"]), ("C5 2", ["C5", "2"]), ("(C39, E32 and B46)", ["C39", "E32", "B46"]),
-        ("( and D42)", ["D42"]), ('"(D35,G15)"', ["D35", "G15"]), ("A36|C19|", ["A36", "C19"]), ("B40; D11 & 7", ["B40", "D11", "7"]), ("((((((((((A1", ["A1"]), ("(" * 3000 + "A1,B2", ["A1", "B2"]),
+        ("( and D42)", ["D42"]), ('"(D35,G15)"', ["D35", "G15"]), ("A36|C19|", ["A36", "C19"]), ("B40; D11 & 7", ["B40", "D11", "7"]), ("((((((((((A1", ["A1"]), ("(" * 3000 + "A1,B2", ["A1", "B2"]), ("[" * 45 + "A1" + "]" * 45, ["A1"]),
+        ("(" * 20_000 + "A1" + ")" * 20_000, ["A1"]), ("(" * 20_000 + "A1)", ["A1"]), ('"(' * 5000 + "A1)", ["A1"]),
     ],
 )
 def test_societies(text, want):
     assert [v.text for v in Packed(SOCIETY).parse(text)] == want
 
 
+def test_nested_values_have_no_error():
+    assert Packed(SOCIETY).parse("[" * 45 + "A1,B2" + "]" * 45)[0].error is None
+    assert [v.error for v in Packed(SOCIETY).parse("((A1)")] == ["stray_bracket"]
+
+
+def test_long_fields_take_time_in_proportion():
+    began = time.time()
+    name = "Univ. of " + "Wex " * 500
+    assert [v.text for v in Packed(SCHOOL).parse(f"{name}; Med. Faculty, '72, Fla.6,'78")] == [f"{name}; Med. Faculty, '72".replace(" ", ""), "Fla.6,'78"]
+    for text in ("Aa " * 100_000, "Aa " * 100_000 + ";" + "Bb " * 100_000, "Fla.6,'78, " * 30_000, "A. " * 100_000, "([" * 50_000 + "A1" + ")" * 50_000):
+        assert Packed(SCHOOL).parse(text)
+    assert time.time() - began < 20
+
+
 def test_packed_errors_and_positions(spark, rows):
     df = spark.createDataFrame([(1, '"Ga.2,\'13, Pa.1', "(A1,??"), (2, None, ""), (3, "◊", "(B2)")], "row_id bigint, schools string, societies string")
     got = rows(unpack_fields(df, "row_id", {"schools": SCHOOL, "societies": SOCIETY}).select("row_id", "field", "pos", "n", "val", "error"))
