@@ -8,7 +8,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -36,15 +37,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for checkpoints: spark.checkpoint.dir of the session, which a cluster sets to a
-    folder all executors share. Where nothing is set, a folder in the warehouse, and a temporary
-    one only if the executors are threads of this process (tests, one machine)."""
+    folder all executors share. Where nothing is set, a temporary one if the executors are threads of
+    this process (tests, one machine); on a cluster that is an error."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     folder = spark.conf.get("spark.checkpoint.dir", "") or sc.getConf().get("spark.checkpoint.dir", "")
     if not folder and not re.match(r"local(\[|$)", sc.master):
-        folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = folder or tempfile.mkdtemp(prefix="quirework-checkpoint-")
     sc.setCheckpointDir(folder)
     return folder
@@ -55,3 +56,16 @@ def cut(df: DataFrame) -> DataFrame:
     executor costs nothing, as the files are on the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Entries of a table that is sent to all tasks, at most; beyond it the table is joined by a shuffle.
+SENT = 500_000
+
+
+def attach(df: DataFrame, table: DataFrame, on: list[str], weight: Column | None = None, sent: int = SENT) -> DataFrame:
+    """`df` with the columns of `table`, which has one row for each value of `on`; nulls where it has none. The
+    table is sent to all tasks if it has at most `sent` rows, or entries by `weight`, which is counted; else
+    both sides are shuffled, and tasks that one key makes large are split by the engine."""
+    table = cut(table)
+    size = table.agg(F.sum(F.coalesce(weight, F.lit(0)) + 1 if weight is not None else F.lit(1))).first()[0] or 0
+    return df.join(F.broadcast(table) if size <= sent else table, on, "left")
