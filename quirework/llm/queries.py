@@ -30,8 +30,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each entry's latest version as continuous readable text."""
     entries = load(spark, sf_dir, "classified_lines")
-    clean = mended(entries, learn(load(spark, sf_dir, "ocr_lines"), entries))
-    return clean.groupBy("row_id").agg(F.max(F.struct("loaded_at", "clean")).alias("m")).select("row_id", "m.clean")
+    return mended(entries, learn(load(spark, sf_dir, "ocr_lines"), entries))
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
