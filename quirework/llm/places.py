@@ -9,16 +9,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quirework.llm.strings import likeness
+from quirework.llm.strings import likeness, skeleton
 
 #: Abbreviations before and after the own part of a place name, and words around it. Fixed values.
 BEFORE = {"no": "north", "n": "north", "nth": "north", "so": "south", "s": "south", "e": "east", "w": "west", "st": "saint", "ste": "saint", "snt": "saint", "mt": "mount", "mnt": "mount", "ft": "fort", "pt": "port", "prt": "port"}
 AFTER = {"spgs": "springs", "spg": "springs", "spr": "springs", "sprs": "springs", "spring": "springs", "jc": "junction", "jct": "junction", "junc": "junction", "jn": "junction", "fls": "falls", "fall": "falls", "cor": "corners", "cors": "corners", "ldg": "landing", "mls": "mills"}
 GENERIC = frozenset({*BEFORE.values(), *AFTER.values()})
-AROUND = re.compile(r"^(?:town|city|village|twp|township|borough) of |(?<=\w)(?:,)? (?:village|city|town|twp|township|p\.? ?o\.?)$")
+AROUND = re.compile(r"^(?:town|city|village|twp|township|borough) of |(?<=\w)(?:,)? (?:village|city|town|twp|township|station|p\.? ?o\.?)$")
 CONTINUED = re.compile(r"\s*[—–-]+\s*c[o0]nt[il1]nued?\b\.?|\(\s*c[o0]nt[il1]nued?\.?\s*\)")
 NOW = re.compile(r"\((?:now|formerly|late|see)\b\s*([^()]*)\)?")
 COUNTY = re.compile(r"^(?:co|county)\.? of |[().]| (?:county|co)\.?$")
@@ -42,6 +43,10 @@ STATES = {
 #: Similarity a name needs if the county agrees, and if no county is given.
 LIKE, LIKE_ALONE = 0.66, 0.78
 COUNTY_LIKE = 0.7
+#: Words of a text that stand together as a name may do: those with a capital. Fixed value.
+CAPITALS = re.compile(r"[^\W\d_a-zà-öø-ÿ][\w.']*(?:[ -]+[^\W\d_a-zà-öø-ÿ][\w.']*)*")
+#: Letters of the codes of a name; all others count as one.
+CODES = 27
 #: The gazetteer is sent to every task; it must not have more places than this.
 MOST_PLACES = 500_000
 
@@ -90,6 +95,67 @@ def token_set(a: list[str], b: list[str]) -> float:
     return got / total if total else 0.0
 
 
+def phrases(name: str) -> list[list[str]]:
+    """The names that a text may hold: what stands between signs and words in small letters, in order. A text
+    without a capital has none. What is called a county is no place."""
+    plain = re.sub(r"\bP\.? ?O\.?(?!\w)", " ", CONTINUED.sub(" ", unicodedata.normalize("NFKC", name)))
+    found = [m.group() for part in re.split(r"[,;:()/]", plain) if not re.search(r"(?i)\b(?:co|county)\b", part) for m in CAPITALS.finditer(part)]
+    return [t for t in map(tokens, found) if t]
+
+
+def letters(names: list[str]) -> np.ndarray:
+    """How often each letter stands in each name."""
+    out = np.zeros((len(names), CODES), np.int16)
+    for k, n in enumerate(names):
+        for c in n:
+            out[k, ord(c) - 96 if "a" <= c <= "z" else 0] += 1
+    return out
+
+
+def _apart(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """A lower bound of the edits, swaps of neighbours among them, from one name to each of many."""
+    d = many - one
+    return np.maximum(np.where(d > 0, d, 0).sum(1), np.where(d < 0, -d, 0).sum(1))
+
+
+class Block:
+    """The names and former names of some places, behind a filter that passes all a name can be like: by the
+    letters that both must share if they are so many edits apart at most, as written and as skeletons."""
+
+    def __init__(self, places: list[tuple[int, tuple[str, ...]]]):
+        self.places = places
+        own = [[t for t in w if t not in GENERIC] or list(w) for _, w in places]
+        self.n_own = np.array([len(o) for o in own], np.int16)
+        self.own = ["".join(o) for o in own]
+        self.sides = [self._side(self.own), self._side(["".join(w) for _, w in places])]
+
+    @staticmethod
+    def _side(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return letters(names), letters([skeleton(n) for n in names]), np.array([len(n) for n in names], np.int16)
+
+    def _near(self, name: str, side: int) -> np.ndarray:
+        plain, bare, sizes = self.sides[side]
+        most = np.maximum(sizes, len(name)) * 2 // 5
+        return (_apart(letters([name])[0], plain) <= most) | (_apart(letters([skeleton(name)])[0], bare) <= most)
+
+    def like(self, words: list[str]) -> dict[int, float]:
+        """The places whose name or former name is like the words, and how much."""
+        if not self.places or not words:
+            return {}
+        own = [t for t in words if t not in GENERIC] or words
+        joined = "".join(own)
+        same = self.n_own == len(own)
+        passed = np.where(same, self._near(joined, 0) if len(own) == 1 else True, self._near("".join(words), 1))
+        passed |= np.array([o == joined for o in self.own])
+        out: dict[int, float] = {}
+        for j in np.flatnonzero(passed):
+            k, w = self.places[j]
+            score = token_set(words, list(w))
+            if score >= LIKE and score > out.get(k, 0.0):
+                out[k] = score
+        return out
+
+
 @dataclass(frozen=True)
 class Place:
     place_id: int
@@ -108,7 +174,9 @@ class Gazetteer:
     by_state: dict[str, list[int]] = field(default_factory=lambda: defaultdict(list))
     states: dict[str, str] = field(default_factory=dict)
     automaton: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
+    blocks: dict[str | None, Block] = field(default_factory=dict)
     known: dict[tuple, tuple[int, str, float]] = field(default_factory=dict)
+    liked: dict[tuple, dict[int, float]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         patterns: dict[str, list[tuple[int, bool]]] = defaultdict(list)
@@ -159,6 +227,36 @@ class Gazetteer:
                 out += what
         return out
 
+    def similar(self, where: str | None, words: list[str]) -> dict[int, float]:
+        """The places of a state, or of all, that are like the words, and how much."""
+        key = (where, *words)
+        if key not in self.liked:
+            if len(self.liked) > 200_000:
+                self.liked.clear()
+            if where not in self.blocks:
+                own = range(len(self.places)) if where is None else self.by_state.get(where, ())
+                self.blocks[where] = Block([(k, w) for k in own for w in (self.places[k].words, self.places[k].former) if w])
+            self.liked[key] = self.blocks[where].like(words)
+        return self.liked[key]
+
+    def _mentioned(self, names: list[list[str]], where: str | None, c: str, population: int | None) -> tuple[int, str, float] | None:
+        """The place that one of the names is. A name that has words over, such as a direction or what kind of
+        place it is, is that of another place."""
+        found: dict[int, int] = {}
+        for v in names:
+            for k, former in self.mentions(v):
+                p = self.places[k]
+                if (where is None or p.state == where) and len(v) == len(p.former if former else p.words):
+                    found[k] = found.get(k, 0) + 1
+        if not found:
+            return None
+        hits = max(found.values())
+        best = max((k for k, n in found.items() if n == hits), key=lambda k: (*self._closeness(k, c, population), self.places[k].population or 0, -k))
+        agree = self._closeness(best, c, population)[0]
+        if where is not None and (not c or not self.places[best].county or agree >= 0.5) or agree >= COUNTY_LIKE and c:
+            return self.places[best].place_id, "mention", 1.0
+        return None
+
     def _closeness(self, k: int, cty: str, population: int | None) -> tuple[float, float]:
         p = self.places[k]
         c = likeness(cty, p.county) if cty and p.county else 0.5
@@ -183,26 +281,20 @@ class Gazetteer:
         words, c = tokens(name), county(cty)
         now = NOW.search(fold(name))
         variants = [words] + ([tokens(now.group(1))] if now and now.group(1).strip() else [])
-        found: dict[int, int] = {}
+        mention = self._mentioned(variants, where, c, population)
+        if mention is None and len(inner := phrases(name)) and inner != [words]:
+            # Names embedded in a text, the longest first.
+            longest = sorted(inner, key=len, reverse=True)
+            mention = next((m for v in longest if (m := self._mentioned([v], where, c, population))), None)
+        if mention is not None:
+            return mention
+        best_score, best_k = 0.0, -1
+        scores: dict[int, float] = {}
         for v in variants:
-            for k, former in self.mentions(v):
-                p = self.places[k]
-                # The mention must leave nothing over but generic words or words in the county's name.
-                rest = len(v) - len(p.former if former else p.words)
-                if (where is None or p.state == where) and rest <= 0:
-                    found[k] = found.get(k, 0) + 1
-        if found:
-            hits = max(found.values())
-            best = max((k for k, n in found.items() if n == hits), key=lambda k: (*self._closeness(k, c, population), self.places[k].population or 0, -k))
-            agree = self._closeness(best, c, population)[0]
-            if where is not None and (not c or not self.places[best].county or agree >= 0.5) or agree >= COUNTY_LIKE and c:
-                return self.places[best].place_id, "mention", 1.0
-        best_score, best_k, second = 0.0, -1, 0.0
-        for k in self.by_state.get(where, range(len(self.places)) if where is None else ()):
+            for k, score in self.similar(where, v).items():
+                scores[k] = max(score, scores.get(k, 0.0))
+        for k, score in sorted(scores.items()):
             p = self.places[k]
-            score = max(token_set(v, list(w)) for v in variants if v for w in (p.words, p.former) if w) if any(variants) else 0.0
-            if score < LIKE:
-                continue
             agree, near = self._closeness(k, c, population)
             if where is None and not (c and agree >= COUNTY_LIKE):
                 continue
@@ -240,8 +332,10 @@ def locate(cities: DataFrame, places: DataFrame) -> DataFrame:
 
     The state is that written, read through abbreviations and misspellings, else that of the publication;
     without both, every state is looked at and the county must agree. Mentions of names and former names
-    come first; of several places so named the county decides, then the population, then the greater
-    place. Names without a mention go to the most similar place of the state whose county agrees (or is
+    come first, of the whole value or else of what stands in it as a name, set off by signs or words in small
+    letters, the longest first; of several places so named the county decides, then the population, then the
+    greater place. A name that a mention leaves a word of over, as North Holgate does of Holgate, is another
+    place's. Names without a mention go to the most similar place of the state whose county agrees (or is
     not given). Null and empty names have no place. The cities stay where they are; the gazetteer, a list
     of bounded size, goes to the tasks.
     """

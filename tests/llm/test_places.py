@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from quirework.llm.places import Gazetteer, Place, county, locate, tokens
+from quirework.llm.places import LIKE, Gazetteer, Place, county, locate, token_set, tokens
 from quirework.llm.strings import edits, likeness
 
 PLACES = [
@@ -14,6 +16,8 @@ CASES = [
     (("Venengate", "Stancmobe", "Alabama", "Alabama", 1200), 3), (("Brackerfield Corners", "Lindworth", "Alabaama", "Alabama", None), 5), (("Brackerfield Corners (now Saint Lamercroft)", None, "Alabama", "Alabama", None), 5),
     (("St. Lamercrfot", "Lindworth", "State of Alabama", "Alabama", 2000), 5), (("Town of Holgate", None, "Alabama, U.S.A.", "Alabama", None), 2), (("Orrnham", "Fitchawick", "N.Y.", "New York", None), 8),
     (("Zuyczola", "Falowick", "Alabama", "Alabama", 800), 0), (("Morley Junction", "Lindworth", "Alabama", "Alabama", None), 0), (("Holgate", None, "Texas", "Texas", None), 0), ((None, None, None, None, None), 0), (("", "x", "Ohio", "Ohio", 5), 0),
+    (("Residence at Holgate", None, "Alabama", "Alabama", None), 2), (("near Holgate on the river", None, "Alabama", "Alabama", None), 2), (("Holgate, Quarridge Co.", None, "Alabama", "Alabama", None), 2),
+    (("Holgate Station", None, "Ala.", None, None), 2), (("a farm near North Holgate, Ala.", None, "Alabama", None, None), 7), (("x" * 5000, None, None, None, None), 0),
     (("Ormham", None, None, None, None), 0), (("Ormham", "Fitchawick", None, None, None), 8),
 ]
 
@@ -27,6 +31,26 @@ def test_find(row, want):
     assert _gazetteer().find(*row)[0] == want
 
 
+def test_the_filter_passes_all_that_is_like():
+    rng = random.Random(9)
+    g = _gazetteer()
+    names = [w for p in g.places for w in (p.words, p.former) if w]
+    for _ in range(3000):
+        w = list(rng.choice(names))
+        k = rng.randrange(len(w))
+        for _ in range(rng.randrange(0, 4)):
+            j = rng.randrange(len(w[k]) + 1)
+            w[k] = rng.choice([w[k][:j] + rng.choice("aeiornmclt1") + w[k][j:], w[k][:j] + w[k][j + 1 :], w[k][:j] + rng.choice("abcdeu") + w[k][j + 1 :], w[k][:j] + w[k][j + 1 : j + 2] + w[k][j : j + 1] + w[k][j + 2 :]]) or "x"
+        if rng.random() < 0.2:
+            w.insert(rng.randrange(len(w) + 1), rng.choice(["north", "springs", "ubham"]))
+        want: dict[int, float] = {}
+        for i, p in enumerate(g.places):
+            score = max(token_set(w, list(x)) for x in (p.words, p.former) if x)
+            if score >= LIKE:
+                want[i] = score
+        assert g.similar(None, w) == want
+
+
 def test_edits():
     assert edits("abcd", "abdc", 2) == 1 and edits("abc", "axbyc", 2) == 2 and edits("abc", "xyz", 1) == 2 and edits("", "ab", 3) == 2
     assert likeness("ormham", "orrnham") > 0.8 and likeness("abc", "xyz") == 0.0
