@@ -105,7 +105,7 @@ def phrases(name: str) -> list[list[str]]:
 
 def letters(names: list[str]) -> np.ndarray:
     """How often each letter stands in each name."""
-    out = np.zeros((len(names), CODES), np.int16)
+    out = np.zeros((len(names), CODES), np.int32)
     for k, n in enumerate(names):
         for c in n:
             out[k, ord(c) - 96 if "a" <= c <= "z" else 0] += 1
@@ -125,13 +125,13 @@ class Block:
     def __init__(self, places: list[tuple[int, tuple[str, ...]]]):
         self.places = places
         own = [[t for t in w if t not in GENERIC] or list(w) for _, w in places]
-        self.n_own = np.array([len(o) for o in own], np.int16)
+        self.n_own = np.array([len(o) for o in own], np.int32)
         self.own = ["".join(o) for o in own]
         self.sides = [self._side(self.own), self._side(["".join(w) for _, w in places])]
 
     @staticmethod
     def _side(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return letters(names), letters([skeleton(n) for n in names]), np.array([len(n) for n in names], np.int16)
+        return letters(names), letters([skeleton(n) for n in names]), np.array([len(n) for n in names], np.int32)
 
     def _near(self, name: str, side: int) -> np.ndarray:
         plain, bare, sizes = self.sides[side]
