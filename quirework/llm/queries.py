@@ -11,7 +11,7 @@ from quirework.llm.lookalikes import odd_rows, one_forms
 from quirework.llm.mixture import mixture
 from quirework.llm.places import locate
 from quirework.llm.scan_noise import entry_noise, learn, line_noise, mended, noise_kinds
-from quirework.llm.truncation import scored, train
+from quirework.llm.truncation import rate_texts, scored, thresholds, train
 from quirework.runtime import load
 
 
@@ -118,10 +118,17 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p10_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of cut texts fitted for each language and column, and the threshold on the log-odds."""
+    documents = load(spark, sf_dir, "documents")
+    model = train(documents)
+    return thresholds(rate_texts(documents, model), model, "text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        p3_found, p3_text, p4_found, p4_how, p5_found, p5_one_form, p6_found, p6_links, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_sources,
+        p3_found, p3_text, p4_found, p4_how, p5_found, p5_one_form, p6_found, p6_links, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_sources, p10_thresholds,
     )
 }
 
