@@ -100,8 +100,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = load(spark, sf_dir, "documents")
-    return scored(documents, train(documents))
+    return scored(train(load(spark, sf_dir, "documents")))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,9 +119,8 @@ def p10_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of cut texts fitted for each language and column, and the threshold on the log-odds."""
-    documents = load(spark, sf_dir, "documents")
-    model = train(documents)
-    return thresholds(rate_texts(documents, model), model, "text")
+    model = train(load(spark, sf_dir, "documents"))
+    return thresholds(rate_texts(model), model, "text")
 
 
 QUERIES = {
