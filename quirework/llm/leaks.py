@@ -9,16 +9,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.runtime import cut
+from quirework.runtime import SENT, cut
 
 #: Words are the longest stretches of letters and digits, in lower case.
 BREAK = r"[^\p{L}\p{N}]+"
 #: Words of a seed. Any passage of `PASSAGE` words holds PASSAGE - SEED + 1 of them, the rarest of which is used.
 SEED = 5
 PASSAGE = 12
+#: An edited copy is a document whose alignment with an item has so much of the score of a whole copy; and words of
+#: its seeds.
+EDITED, EDITED_SEED = 0.6, 3
 #: Scores of the alignment.
 MATCH, MISMATCH, GAP = 2, -1, -2
-#: Cells that are aligned at once.
+#: Pairs whose words are held at once, and cells that are aligned at once.
+PAIRS = 500
 CELLS = 400_000
 
 
@@ -26,15 +30,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), BREAK), lambda w: w != "")
 
 
-def _grams(text: Column) -> Column:
-    def of(w: Column) -> Column:
-        last = F.size(w) - SEED
-        return F.when(
-            last >= 0,
-            F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.slice(w, i + 1, SEED))),
-        ).otherwise(F.array().cast("array<bigint>"))
-
-    return of(text)
+def _grams(w: Column, size: int = SEED) -> Column:
+    last = F.size(w) - size
+    return F.when(
+        last >= 0,
+        F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.slice(w, i + 1, size))),
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -65,9 +66,8 @@ def align(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if not b.num_rows:
-            continue
+    # Some pairs at a time, as their texts become lists of words.
+    for b in (b.slice(k, PAIRS) for b in batches for k in range(0, b.num_rows, PAIRS)):
         ids: dict[str, int] = {}
         pairs = []
         for doc, item in zip(b.column("doc_words").to_pylist(), b.column("item_words").to_pylist()):
@@ -104,11 +104,8 @@ def leaks(
     of the same text are each reported. The documents' n-grams are reduced to those of the items before
     anything is shuffled; which join does this is left to Spark, which broadcasts the items only if small.
     """
-    own = items.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("item_words")).where(
-        F.size("item_words") >= PASSAGE
-    ).distinct()
+    own, docs = _worded(documents, items, doc_id, item_id, text)
     places = own.select("item_id", F.size("item_words").alias("n"), F.posexplode(_grams(F.col("item_words"))).alias("pos", "gram"))
-    docs = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("doc_words"))
     grams = docs.where(F.size("doc_words") >= PASSAGE).select("doc_id", F.explode(F.array_distinct(_grams(F.col("doc_words")))).alias("gram"))
     hits = cut(grams.join(places.select("gram").distinct(), "gram", "left_semi"))
     counts = hits.groupBy("gram").agg(F.count("*").alias("df"))
@@ -120,7 +117,45 @@ def leaks(
         .select("item_id", F.col("rare.gram").alias("gram"))
         .distinct()
     )
-    candidates = hits.join(seeds, "gram").select("doc_id", "item_id").distinct()
+    return _aligned(_sent(hits, seeds, "gram").select("doc_id", "item_id").distinct(), documents, own, doc_id, text)
+
+
+def edited_copies(
+    documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", least: float = EDITED
+) -> DataFrame:
+    """Rows (doc_id, item_id, run_words, share) of the documents that hold an edited or paraphrased copy of an item:
+    their best alignment has at least the share `least`, from 0.6 on, of the score of a whole copy.
+
+    No copy is missed: with a share of s, an item of n words has matched words and breaks in them such that at
+    least (2 * s - 1) * n - 2 of its places begin a run of EDITED_SEED words that the document holds too, for s = 0.6 a fifth
+    of its words but two; the pairs that share so many are aligned, whatever is common or rare. Items of fewer
+    than PASSAGE words, and null and empty texts, give no row.
+    """
+    if least < EDITED:
+        raise ValueError(f"a share under {EDITED} leaves too few words in a row to be found by")
+    own, docs = _worded(documents, items, doc_id, item_id, text)
+    places = own.select("item_id", F.size("item_words").alias("n"), F.posexplode(_grams(F.col("item_words"), EDITED_SEED)).alias("pos", "gram"))
+    grams = docs.where(F.size("doc_words") >= EDITED_SEED).select("doc_id", F.explode(F.array_distinct(_grams(F.col("doc_words"), EDITED_SEED))).alias("gram"))
+    hits = cut(_sent(grams, places.select("gram").distinct(), "gram", "left_semi").distinct())
+    shared = _sent(hits, places, "gram").groupBy("doc_id", "item_id", "n").agg(F.count("*").alias("held"))
+    candidates = shared.where(F.col("held") >= F.greatest(F.lit(1), F.ceil(F.lit(2 * least - 1) * F.col("n") - 2 - 1e-9))).select("doc_id", "item_id")
+    return _aligned(candidates, documents, own, doc_id, text).where(F.col("share") >= least)
+
+
+def _worded(documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    own = items.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("item_words")).where(F.size("item_words") >= PASSAGE).distinct()
+    return own, documents.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("doc_words"))
+
+
+def _sent(many: DataFrame, few: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A join whose smaller side, made of the items, is sent to all tasks if it is small, so that a frequent word
+    sequence makes no task large; beyond that both sides are shuffled, and large tasks split by the engine."""
+    few = cut(few)
+    return many.join(F.broadcast(few) if few.count() <= SENT else few, on, how)
+
+
+def _aligned(candidates: DataFrame, documents: DataFrame, own: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The candidates (doc_id, item_id) with the longest run of words in common and the share of the score."""
     texts = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("doc_text"))
     met = texts.join(candidates, "doc_id").join(own, "item_id")
     pairs = met.select("doc_id", "item_id", words(F.col("doc_text")).alias("doc_words"), "item_words")

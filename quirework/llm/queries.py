@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm.addresses import members, same_forms, same_locations
-from quirework.llm.leaks import PASSAGE, leaks
+from quirework.llm.leaks import PASSAGE, edited_copies, leaks
 from quirework.llm.lookalikes import odd_rows, one_forms
 from quirework.llm.mixture import mixture
 from quirework.llm.places import locate
@@ -91,6 +91,12 @@ def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("run_words").alias("longest"))
 
 
+def p8_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an edited or paraphrased copy of an item, and how much of it."""
+    found = edited_copies(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items"))
+    return found.select("doc_id", "item_id", "run_words", F.round("share", 6).alias("share"))
+
+
 def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[0]
 
@@ -126,7 +132,7 @@ def p10_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p3_found, p3_text, p4_found, p4_how, p5_found, p5_one_form, p6_found, p6_links, p8_found, p8_items, p9_mixture, p9_shares, p10_found, p10_sources, p10_thresholds,
+        p3_found, p3_text, p4_found, p4_how, p5_found, p5_one_form, p6_found, p6_links, p8_found, p8_items, p8_edited, p9_mixture, p9_shares, p10_found, p10_sources, p10_thresholds,
     )
 }
 

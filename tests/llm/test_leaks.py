@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from quirework.llm.leaks import PASSAGE, align, leaks
+from quirework.llm.leaks import EDITED, PASSAGE, align, edited_copies, leaks
 
 
 def _words(t):
@@ -58,3 +58,26 @@ def test_against_brute_force(spark):
     got = [(r.doc_id, r.item_id) for r in leaks(d, i).where(f"run_words >= {PASSAGE}").collect()]
     assert len(want) > 20 and sorted(got) == sorted(want)
     assert leaks(d.limit(0), i).count() == 0 and leaks(d, i.limit(0)).count() == 0
+
+
+def test_edited_copies_against_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(30)] + ["of", "the"]
+    items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([12, 14, 25, 40])))) for k in range(20)] + [(90, None), (91, "of the")]
+    docs = []
+    for k in range(200):
+        w = items[rng.randrange(20)][1].split()
+        for _ in range(rng.randrange(0, len(w) // 2)):
+            j = rng.randrange(len(w))
+            w[j : j + 1] = rng.choice([[], ["new", w[j]], ["other"], ["other"]])
+            w = w or ["x"]
+        around = [[rng.choice(vocabulary) for _ in range(rng.randrange(0, 30))] for _ in range(2)]
+        docs.append((k, " ".join(around[0] + w + around[1])))
+    docs += [(300, None), (301, ""), (302, docs[0][1]), (302, docs[0][1])]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    whole = {b: 2 * len(_words(u)) for b, u in items if u}
+    want = {(a, b) for a, t in docs for b, u in items if t and u and len(_words(u)) >= PASSAGE and _score(_words(t), _words(u)) >= EDITED * whole[b]}
+    got = [(r.doc_id, r.item_id) for r in edited_copies(d, i).collect()]
+    runs = {(a, b) for a, b in want if _run(_words(dict(docs)[a]), _words(dict(items)[b])) < PASSAGE}
+    assert len(want) > 100 and len(runs) > 20 and sorted(got) == sorted(want)
+    assert edited_copies(d.limit(0), i).count() == 0 and edited_copies(d, i.limit(0)).count() == 0
