@@ -14,17 +14,25 @@ from pyspark.sql import functions as F
 from quirework.llm.arrow_text import code_points, per_row_any, to_arrow
 
 #: Letters of other scripts and the Latin letters they look like. Fixed values.
-CYRILLIC = "АВЕЅІЈКМНОРСТУХаеѕіјорсухԁԛԝһӏ"
-CYRILLIC_AS = "ABESIJKMHOPCTYXaesijopcyxdqwhl"
-GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοιαρυνκ"
-GREEK_AS = "ABEZHIKMNOPTYXoiapuvk"
-OTHER = "ՕՏԼհոսց"
-OTHER_AS = "OSLhnug"
+CYRILLIC = "АВЕЅІЈКМНОРСТУХҮаеѕіјорсухүһԁԛԝӏѵ"
+CYRILLIC_AS = "ABESIJKMHOPCTYXYaesijopcyxyhdqwlv"
+GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿοιαρυνκϲϳ"
+GREEK_AS = "ABEZHIKMNOPTYXCJoiapuvkcj"
+ARMENIAN = "ՕՏԼհոսցօ"
+ARMENIAN_AS = "OSLhnugo"
+CHEROKEE = "ᎪᏴᏟᎠᎬᏀᎻᎥᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᏃ"
+CHEROKEE_AS = "ABCDEGHiJKLMPRSTVWZ"
+COPTIC = "ⲂⲈⲎⲒⲔⲘⲚⲞⲢⲤⲦⲬⲟⲣⲥⲭ"
+COPTIC_AS = "BEHIKMNOPCTXopcx"
+#: Letters of the Latin script itself that stand for others in no language of the texts. Fixed values.
+LATIN, LATIN_AS = "ɑɡɩıȷ", "agiij"
+#: Scripts whose other letters show that a text is truly in them.
+SCRIPTS = ("CYRILLIC", "GREEK", "ARMENIAN", "CHEROKEE", "COPTIC")
 
 #: Forms of a character that differ in width or presentation only. Fixed values (tags of the character database).
 FORM_TAGS = {"<wide>", "<narrow>", "<font>", "<small>", "<vertical>", "<initial>", "<medial>", "<final>", "<isolated>", "<circle>", "<square>", "<super>", "<sub>"}
 
-FORM, MARK, INVISIBLE, BLANK, SCRIPT = 1, 2, 4, 8, 16
+FORM, MARK, INVISIBLE, BLANK, SCRIPT, GENUINE, PLAIN = 1, 2, 4, 8, 16, 32, 64
 LIMIT = 0x110000
 
 
@@ -37,7 +45,13 @@ def tables() -> dict[str, np.ndarray]:
     out: list[int] = []
     changed: list[tuple[int, str]] = []
     pairs: dict[int, int] = {}
-    looks = dict(zip(CYRILLIC + GREEK + OTHER, CYRILLIC_AS + GREEK_AS + OTHER_AS))
+    looks = dict(zip(CYRILLIC + GREEK + ARMENIAN + CHEROKEE + COPTIC + LATIN, CYRILLIC_AS + GREEK_AS + ARMENIAN_AS + CHEROKEE_AS + COPTIC_AS + LATIN_AS))
+    # Small capitals, which the character database names after their letters.
+    for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
+        try:
+            looks[unicodedata.lookup(f"LATIN LETTER SMALL CAPITAL {letter}")] = letter.lower()
+        except KeyError:
+            pass
     for cp in range(0x80, 0x30000):
         c = chr(cp)
         category = unicodedata.category(c)
@@ -52,7 +66,7 @@ def tables() -> dict[str, np.ndarray]:
         else:
             new = c
             tag, _, rest = unicodedata.decomposition(c).partition(" ")
-            if tag in FORM_TAGS or tag == "<compat>" and category[0] == "L":
+            if tag in FORM_TAGS or tag == "<compat>" and (category[0] == "L" or category == "Nl"):
                 kind[cp], new = FORM, unicodedata.normalize("NFKC", c)
             elif category == "Mn":
                 kind[cp] = MARK
@@ -60,6 +74,13 @@ def tables() -> dict[str, np.ndarray]:
                 pairs[int(tag, 16) << 21 | int(rest, 16)] = cp
         if new != c:
             changed.append((cp, new))
+        if category[0] in "LN" and (name := unicodedata.name(new[:1] or c, "")):
+            if name.startswith("LATIN") and c not in looks:
+                kind[cp] |= PLAIN
+            elif c not in looks and name.startswith(SCRIPTS) and category[0] == "L":
+                kind[cp] |= GENUINE
+    for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz":
+        kind[ord(letter)] = PLAIN
     for cp in [*range(0x00, 0x09), 0x0B, 0x0C, *range(0x0E, 0x20), 0x7F]:
         kind[cp] = INVISIBLE
         changed.append((cp, ""))
@@ -84,13 +105,38 @@ def _compose(letter: np.ndarray, mark: np.ndarray) -> np.ndarray:
     return np.where(t["pair"][at] == want, t["composed"][at], 0)
 
 
+def _genuine(kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The letters that look like Latin ones and are none, but stand for themselves: those of a text that has other
+    letters of such scripts, in words without a Latin letter. Marks and what is invisible part no words."""
+    out = (kind & SCRIPT) > 0
+    at = np.flatnonzero(out)
+    if not len(at):
+        return out
+    row = np.searchsorted(offsets, at, "right") - 1
+    some = per_row_any((kind & GENUINE) > 0, offsets)[row]
+    out[at[~some]] = False
+    if some.any():
+        inside = (kind & (SCRIPT | GENUINE | PLAIN | MARK | INVISIBLE)) > 0
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        firsts = offsets[:-1][offsets[:-1] < len(kind)]
+        begins[firsts] = inside[firsts]
+        word = np.cumsum(begins)
+        mixed = np.bincount(word[(kind & PLAIN) > 0], minlength=int(word[-1]) + 1) > 0
+        out[at[some]] = ~mixed[word[at[some]]]
+    return out
+
+
 def _expand(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every code point replaced by what it becomes, by gathers over a table."""
     t = tables()
-    lengths = t["length"][cps]
+    lengths, starts = t["length"][cps], t["start"][cps]
+    own = _genuine(t["kind"][cps], offsets)
+    if own.any():
+        lengths[own], starts[own] = 1, cps[own]
     ends = np.zeros(len(cps) + 1, np.int64)
     np.cumsum(lengths, out=ends[1:])
-    first = np.repeat(t["start"][cps], lengths)
+    first = np.repeat(starts, lengths)
     place = np.arange(ends[-1]) - np.repeat(ends[:-1], lengths)
     source = first + place
     inside = first >= LIMIT
@@ -104,7 +150,8 @@ def flagged(cps: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if not len(cps):
         return np.zeros(len(offsets) - 1, bool)
     kind = tables()["kind"][cps]
-    found = (kind & (FORM | INVISIBLE | BLANK | SCRIPT)) > 0
+    found = (kind & (FORM | INVISIBLE | BLANK)) > 0
+    found |= ((kind & SCRIPT) > 0) & ~_genuine(kind, offsets)
     marks = np.flatnonzero(kind & MARK)
     if len(marks):
         # A mark may follow other marks or invisible characters: judge it on the text without these.
@@ -175,7 +222,8 @@ def with_one_form(df: DataFrame, text: str, into: str = "one_form", flag: str =
 def odd_rows(df: DataFrame, key: str, text: str, version: str | None = None) -> DataFrame:
     """The keys (key_id) whose text holds a character that only looks like the usual one: a width or
     presentation form, an accent apart from a letter it could be one with, an invisible character, a blank
-    but the plain one, a look-alike letter of another script.
+    but the plain one, a look-alike letter of another script. Text that is truly in another script is none: where
+    a text has other letters of it, its words without Latin letters stay as they are.
 
     Of several rows of a key the one with the greatest `version` counts; without it, any. Null texts are
     not found. Only keys, versions and flags are shuffled, pre-aggregated per task."""

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from quirework.llm.arrow_text import code_points, to_arrow
-from quirework.llm.lookalikes import flagged, normalise_array, odd_rows, one_forms, with_one_form
+from quirework.llm.lookalikes import flagged, normalise, normalise_array, odd_rows, one_forms, with_one_form
 
 CASES = [
     ("plain text; 9-11, 2;30-4 ▼ ⊕ ◊ ★ † ♁ ‡ △ — é", None), ("ＷＩＬＬＩＡＭ １２", "WILLIAM 12"), ("oﬃce ﬁne", "office fine"), ("Mе.7", "Me.7"), ("ΑΒ", "AB"),
@@ -84,3 +84,18 @@ def test_one_form_of_both_tables(spark, tmp_path, rows):
     spark.createDataFrame([(1, "x", 1), (1, "ｙ", 2)], "row_id bigint, full_text string, loaded_at int").write.parquet(f"{tmp_path}/classified_lines.parquet")
     want = [("classified_lines", 1, "y", True), ("ocr_lines", 1, "fine", True), ("ocr_lines", 2, "fine", False)]
     assert rows(p5_one_form(spark, str(tmp_path)), "table_name", "key_id", "one_form", "odd") == want
+
+
+@pytest.mark.parametrize("text", ["Москва и область", "Ελλάδα", "Он сказал: «нет», и ушёл.", "See Москва, о том и речь", "Α και Ω, το πρώτο"])
+def test_genuine_text_of_other_scripts_stays(text):
+    cps, offsets = code_points(pa.array([text, "x"]))
+    assert not flagged(cps, offsets).any() and to_arrow(*normalise(cps, offsets)).to_pylist() == [text, "x"]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("Mаine", "Maine"), ("Москва, Mаine", "Москва, Maine"), ("НОР", "HOP"), ("ОАК Street", "OAK Street"), ("hɑrɡ", "harg"), ("ᴀve", "ave"), ("Ꭺlma", "Alma"), ("rⲟad", "road"), ("Ⅿaine", "Maine"), ("M\u200bаine Москва", "Maine Москва"), ("о\u200bк", "ок")],
+)
+def test_letters_in_place_of_latin_ones(text, want):
+    cps, offsets = code_points(pa.array(["Москва", text, ""]))
+    assert flagged(cps, offsets).tolist() == [False, True, False] and to_arrow(*normalise(cps, offsets)).to_pylist() == ["Москва", want, ""]
