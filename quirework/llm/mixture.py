@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.runtime import cut
+from quirework.runtime import SENT, cut
 
 #: Folder of the public tokenizers' files, and the vocabulary used; parameters of every operator here.
 TOKENIZERS = "/opt/tokenizers"
@@ -46,14 +46,14 @@ def with_tokens(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (), p
 
 
 def _prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Running sums of n_tokens per source within a partition sorted by source, on top of `before`."""
+    """Running sums of n_tokens per range and source (`key`) within a partition sorted by these, on top of `before`."""
     carry: tuple[object, int] = (None, 0)
     for b in batches:
         if not b.num_rows:
             continue
         n = b.column("n_tokens").to_numpy(zero_copy_only=False)
         before = b.column("before").to_numpy(zero_copy_only=False)
-        codes = b.column("source").dictionary_encode()
+        codes = b.column("key").dictionary_encode()
         which = codes.indices.to_numpy(zero_copy_only=False)
         names = codes.dictionary.to_pylist()
         total = np.cumsum(n)
@@ -76,6 +76,7 @@ def mixture(
     total: int | None = None,
     seed: int = 17,
     path: str = f"{TOKENIZERS}/{VOCABULARY}",
+    sent: int = SENT,
 ) -> tuple[DataFrame, DataFrame]:
     """The mixture (doc_id, source, n_tokens, times) and the shares reached per source.
 
@@ -98,7 +99,7 @@ def mixture(
         counted.withColumn("r", F.xxhash64("doc_id", F.lit(seed)))
         .repartitionByRange("source", "r", "doc_id")
         .sortWithinPartitions("source", "r", "doc_id")
-        .select("doc_id", "source", "n_tokens", F.spark_partition_id().alias("part"))
+        .select("doc_id", "source", "n_tokens", "r", F.spark_partition_id().alias("part"))
     )
     parts = laid.groupBy("part", "source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     by_source = Window.partitionBy("source")
@@ -129,11 +130,14 @@ def mixture(
     plan = plan.withColumn("passes", F.when(usable, F.floor(F.col("budget") / F.col("have") + 1e-9)).otherwise(F.lit(0))).withColumn(
         "rest", F.greatest(F.col("budget") - F.col("passes") * F.col("have"), F.lit(0.0))
     )
-    # Broadcast: a row for each task and source, at most tasks + sources rows, as the tasks are ranges of
-    # sources. The join thus moves nothing, and the order within a task stays that of the checkpoint.
-    started = laid.join(F.broadcast(parts.select("part", "source", "before")), ["part", "source"]).select(
-        "doc_id", "source", "n_tokens", "before"
-    )
+    # A row for each task and source, at most tasks + sources rows, as the tasks are ranges of sources. While they
+    # are few they are sent, and nothing moves; else the ranges are put in order again behind the join.
+    begins = parts.select("part", "source", "before")
+    if begins.count() <= sent:
+        met = laid.join(F.broadcast(begins), ["part", "source"])
+    else:
+        met = laid.join(begins, ["part", "source"]).repartition("part").sortWithinPartitions("part", "source", "r", "doc_id")
+    started = met.select("doc_id", "source", "n_tokens", "before", F.concat_ws(" ", "part", "source").alias("key"))
     kind = laid.select("doc_id", "source", "n_tokens", F.lit(0).cast("bigint").alias("start")).schema
     for f in kind.fields:
         f.nullable = True
@@ -148,16 +152,15 @@ def mixture(
         F.sum(F.col("n_tokens") * F.col("times")).alias("mixed_tokens"), F.count("*").alias("mixed_docs"),
         F.max("times").alias("most_used"),
     )
-    every = Window.partitionBy(F.lit(0))  # a row for each source
+    all_tokens = used.agg(F.sum("mixed_tokens")).scalar()
     shares = (
         plan.join(used, "source", "left")
-        .withColumn("all_tokens", F.sum("mixed_tokens").over(every))
         .select(
             "source", "target_share", "max_repeats", F.col("docs").alias("source_docs"), F.col("have").alias("source_tokens"),
             F.coalesce("mixed_docs", F.lit(0)).alias("mixed_docs"),
             F.coalesce("mixed_tokens", F.lit(0)).alias("mixed_tokens"),
             F.coalesce("most_used", F.lit(0)).alias("most_used"),
-            F.coalesce(F.col("mixed_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("reached_share"),
+            F.coalesce(F.col("mixed_tokens") / all_tokens, F.lit(0.0)).alias("reached_share"),
             (F.col("target_share") > 0).__and__(F.coalesce("mixed_tokens", F.lit(0)) + 0.5 < F.col("asked") - F.col("have") / F.greatest("docs", F.lit(1))).alias("short"),
         )
     )

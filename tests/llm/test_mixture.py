@@ -29,6 +29,8 @@ def test_shares_repeats_and_report(spark):
     assert used == {s: got[s].mixed_tokens for s in ("big", "small")}
     again = {(r.doc_id, r.times) for r in mixture(docs.repartition(2), targets)[0].collect()}
     assert again == {(r.doc_id, r.times) for r in mixed.collect()}
+    joined = mixture(docs, targets, sent=0)
+    assert again == {(r.doc_id, r.times) for r in joined[0].collect()} and sorted(map(str, joined[1].collect())) == sorted(map(str, shares.collect()))
 
 
 def test_given_total_and_the_order_of_the_cut(spark):
