@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm.lookalikes import normalise_array
 from quirework.llm.places import STATES
-from quirework.runtime import attach, cut
+from quirework.runtime import SENT, attach, cut
 
 HYPHEN, MISREAD, HEADER, PAGE_NUMBER = 1, 2, 4, 8
 KINDS = {HYPHEN: "hyphen", MISREAD: "misread", HEADER: "header", PAGE_NUMBER: "page_number"}
@@ -59,8 +59,6 @@ PAGES, SHARE = 3, 2e-4
 WORDS = r"(?<![\p{L}\p{N}-])(?<!-\s)(?:(?<!^)\p{L}|\p{Lu})\p{L}++(?=[\s,;.)])"
 #: A word with a hyphen of its own, as far as its second part is in small letters.
 HYPHENATED = r"(?<![\p{L}\p{N}-])\p{L}++-\p{Ll}{2,}+(?=[\s,;.)])"
-#: Words among which misread forms are looked for.
-ANY_WORD = r"(?<![\p{L}\p{N}])\p{L}{2,}+(?![\p{L}\p{N}'-])"
 NUMBER_LINE = re.compile(r"\s*(?:([—–-]\s*)?(\d{1,5})(\s*[—–-])?|\[\s*(\d{1,5})\s*\]|(?:[Pp]age|[Pp]\.)\s*(\d{1,5})|(\d{1,5})\.)\s*")
 NUMBER_INSIDE = re.compile(r"(?:[—–-]\s+(\d{1,5})\s+[—–-]|\[\s*(\d{1,5})\s*\]|(?<!\w)(?:[Pp]age|[Pp]\.)\s*(\d{1,5}))(?!\d)")
 LETTERS_ONLY = re.compile(r"[^\W\d_]{2,}")
@@ -169,6 +167,13 @@ class NoiseModel:
     frequent: tuple[str, ...] = ()
     words: DataFrame | None = None
     publications: DataFrame | None = None
+    told: dict[str, tuple[int | None, tuple[str, ...]]] | None = None
+
+    def attached(self, df: DataFrame) -> DataFrame:
+        """`df` with what is known of its publications (ahead, own), if it isn't sent to the tasks."""
+        if self.told is not None or self.publications is None:
+            return df.select("*", F.lit(None).cast("bigint").alias("ahead"), F.lit(None).cast("array<string>").alias("own"))
+        return df.join(self.publications, "_pub", "left")
 
 
 #: A hyphen to be judged by the vocabulary: what stands before and behind it, and how it is judged.
@@ -180,8 +185,8 @@ class Reader:
     """Finds and mends the noise of texts. Hyphens that the vocabulary must judge are taken for breaks where
     `judged` says so, and are noted in `asked`."""
 
-    def __init__(self, shapes: tuple[str, ...], forms: dict[str, str], frequent: tuple[str, ...] = ()):
-        self.shapes, self.forms = shapes, forms
+    def __init__(self, shapes: tuple[str, ...], forms: dict[str, str], frequent: tuple[str, ...] = (), told: dict | None = None):
+        self.shapes, self.forms, self.told = shapes, forms, told
         #: Frequent words by what is left of them if digits may stand for letters.
         self.plain: dict[str, str] = {}
         for w in frequent:
@@ -196,7 +201,8 @@ class Reader:
 
     def at(self, pub: str | None, ahead: int | None, own: Sequence[str] | None) -> None:
         """The publication that the next texts are of, how far its page numbers are ahead, and its own shapes."""
-        self.pub, self.ahead, self.own = pub or "", ahead, tuple(own or ())
+        self.pub = pub or ""
+        self.ahead, self.own = self.told.get(self.pub, (None, ())) if self.told is not None else (ahead, tuple(own or ()))
 
     def _pattern(self) -> re.Pattern[str] | None:
         """One pattern for all running heads of the publication, found anywhere in a text."""
@@ -462,18 +468,19 @@ def _with_edges(lines: Iterable[Line]) -> Iterator[Line]:
             at += 1
 
 
-def learn(lines: DataFrame, entries: DataFrame) -> NoiseModel:
+def learn(lines: DataFrame, entries: DataFrame, sent: int = SENT) -> NoiseModel:
     """The model of all lines (pub, page, col, line_no, text) and entries (full_text).
 
     Counts run over all rows. What reaches the driver is bounded by the parameters above: shapes of running heads
     of all publications (1 / SHARE) and the words in them (1 / EDGE_RARE), and misread forms of frequent words
-    (at most 1 / FREQUENT words). What is known of single publications, and the vocabulary, stay distributed.
+    (at most 1 / FREQUENT words). The vocabulary stays distributed, and so does what is known of single
+    publications, unless it is at most `sent` entries, which are then sent to the tasks.
     """
     texts = lines.select(F.col("text").alias("t")).unionByName(entries.select(F.col("full_text").alias("t")))
-    kinds = F.array(*(F.struct(F.lit(k).alias("k"), F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias("ws")) for k, p in enumerate((WORDS, HYPHENATED, ANY_WORD))))
-    each = texts.select(F.explode(kinds).alias("s")).select("s.k", F.explode("s.ws").alias("w"))
-    counted = cut(each.groupBy("k", "w").agg(F.count("*").alias("n")))
-    words = counted.where("k < 2 and n > 1").select("w", "n")
+    hyphened = F.when(F.col("t").contains("-"), F.regexp_extract_all("t", F.lit(HYPHENATED), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    each = texts.where("t is not null").select(F.explode(F.concat(F.regexp_extract_all("t", F.lit(WORDS), F.lit(0)), hyphened)).alias("w"))
+    counted = cut(each.groupBy("w").agg(F.count("*").alias("n")))
+    words = counted.where("n > 1")
     column = ("pub", "page", "col")
     ends = lines.where("text is not null").groupBy(*column).agg(
         F.min(F.struct("line_no", "text")).alias("first"), F.max(F.struct("line_no", "text")).alias("last")
@@ -539,7 +546,9 @@ def learn(lines: DataFrame, entries: DataFrame) -> NoiseModel:
     votes = shaped.where("ahead is not null").groupBy("_pub", "ahead").agg(F.count("*").alias("n"))
     best = votes.groupBy("_pub").agg(F.max(F.struct("n", "ahead")).alias("b")).where("b.n > 1").select("_pub", "b.ahead")
     publications = cut(best.join(repeated_own, "_pub", "full_outer"))
-    return NoiseModel(tuple(shared), *misread_forms(counted.where("k = 2").select("w", "n")), words, publications)
+    size = publications.agg(F.sum(F.coalesce(F.size("own"), F.lit(0)) + 1)).first()[0] or 0
+    told = {r["_pub"]: (r.ahead, tuple(r.own or ())) for r in publications.collect()} if size <= sent else None
+    return NoiseModel(tuple(shared), *misread_forms(counted.where(~F.col("w").contains("-"))), words, publications, told)
 
 
 def misread_forms(counted: DataFrame) -> tuple[dict[str, str], tuple[str, ...]]:
@@ -634,7 +643,7 @@ def line_noise(lines: DataFrame, model: NoiseModel) -> DataFrame:
     no page edges, and a hyphen at the end of such a piece, or of a page, is judged by what stands before it.
     Null and empty texts and lines that could not be read have no noise.
     """
-    shared = lines.sparkSession.sparkContext.broadcast((model.shapes, model.forms, model.frequent))
+    shared = lines.sparkSession.sparkContext.broadcast((model.shapes, model.forms, model.frequent, model.told))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(*shared.value)
@@ -643,7 +652,7 @@ def line_noise(lines: DataFrame, model: NoiseModel) -> DataFrame:
         def rows() -> Iterator[tuple]:
             for b in batches:
                 columns = [b.column(c).to_pylist() for c in ("line_id", "_pub", "page", "piece", "col", "ahead")]
-                yield from zip(*columns, (b.column("own")[k] for k in range(b.num_rows)), normalise_array(b.column("text")).to_pylist())
+                yield from zip(*columns, b.column("own").to_pylist() if shared.value[3] is None else [None] * b.num_rows, normalise_array(b.column("text")).to_pylist())
 
         source = rows()
         row = next(source, None)
@@ -658,7 +667,7 @@ def line_noise(lines: DataFrame, model: NoiseModel) -> DataFrame:
                 row = next(source, None)
 
         while row is not None:
-            reader.at(row[1], row[5], row[6].as_py())
+            reader.at(row[1], row[5], row[6])
             for x in read_page(_with_edges(page(row[1:4])), reader):
                 if x.mask or x.breaks:
                     out.append(x)
@@ -668,7 +677,7 @@ def line_noise(lines: DataFrame, model: NoiseModel) -> DataFrame:
         yield _lines_out(out)
 
     piece = F.when(F.col("page").isNull(), F.concat_ws(" ", "col", F.floor(F.col("line_no") / 500)))
-    told = attach(lines.select("line_id", F.coalesce("pub", F.lit("")).alias("_pub"), "page", piece.alias("piece"), "col", "line_no", "text"), model.publications, ["_pub"], F.size("own"))
+    told = model.attached(lines.select("line_id", F.coalesce("pub", F.lit("")).alias("_pub"), "page", piece.alias("piece"), "col", "line_no", "text"))
     ordered = told.repartition("_pub", "page", "piece").sortWithinPartitions("_pub", "page", "piece", "col", "line_no", "line_id")
     return _with_hyphens(ordered.mapInArrow(run, f"key_id bigint, kinds int, breaks {_ASKED_SQL}"), model.words)
 
@@ -683,12 +692,12 @@ def _latest(entries: DataFrame, model: NoiseModel) -> DataFrame:
     """The latest version of each entry, with what is known of its publication."""
     last = entries.groupBy("row_id").agg(F.max(F.struct("loaded_at", "full_text", "publication", "page_number")).alias("m"))
     plain = last.select("row_id", F.coalesce("m.publication", F.lit("")).alias("_pub"), F.col("m.page_number").alias("page"), F.col("m.full_text").alias("text"))
-    return attach(plain, model.publications, ["_pub"], F.size("own"))
+    return model.attached(plain)
 
 
 def _entries_read(entries: DataFrame, model: NoiseModel) -> DataFrame:
     """Rows (key_id, kinds, breaks) of the entries' latest versions."""
-    shared = entries.sparkSession.sparkContext.broadcast((model.shapes, model.forms, model.frequent))
+    shared = entries.sparkSession.sparkContext.broadcast((model.shapes, model.forms, model.frequent, model.told))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(*shared.value)
@@ -696,7 +705,7 @@ def _entries_read(entries: DataFrame, model: NoiseModel) -> DataFrame:
             masks, breaks = [], []
             for k, (t, p, g, a) in enumerate(zip(normalise_array(b.column("text")).to_pylist(), *(b.column(c).to_pylist() for c in ("_pub", "page", "ahead")))):
                 reader.asked = []
-                reader.at(p, a, b.column("own")[k].as_py())
+                reader.at(p, a, b.column("own")[k].as_py() if shared.value[3] is None else None)
                 masks.append(reader.entry(t, g))
                 breaks.append(tuple(reader.asked))
             yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(masks, pa.int32()), _records(breaks)], ["key_id", "kinds", "breaks"])
@@ -714,7 +723,7 @@ def entry_noise(entries: DataFrame, model: NoiseModel) -> DataFrame:
 def mended(entries: DataFrame, model: NoiseModel) -> DataFrame:
     """Rows (row_id, clean): the latest version of every entry as continuous readable text; null where there is
     none. The hyphens of each entry are judged first, and go with it."""
-    shared = entries.sparkSession.sparkContext.broadcast((model.shapes, model.forms, model.frequent))
+    shared = entries.sparkSession.sparkContext.broadcast((model.shapes, model.forms, model.frequent, model.told))
     asked = cut(_entries_read(entries, model).select("key_id", F.explode("breaks").alias("b")).select("key_id", "b.*"))
     breaks = attach(asked, judged(asked, model.words).withColumn("hit", F.lit(True)), ["lft", "rgt", "how"]).where("hit")
     per_entry = breaks.groupBy(F.col("key_id").alias("row_id")).agg(F.collect_set(F.struct("lft", "rgt", "how")).alias("breaks"))
@@ -726,7 +735,7 @@ def mended(entries: DataFrame, model: NoiseModel) -> DataFrame:
             for k, (t, p, g, a, bs) in enumerate(zip(normalise_array(b.column("text")).to_pylist(), *(b.column(c).to_pylist() for c in ("_pub", "page", "ahead", "breaks")))):
                 reader.asked = []
                 reader.judged = {(x["lft"], x["rgt"], x["how"]): True for x in bs or ()}
-                reader.at(p, a, b.column("own")[k].as_py())
+                reader.at(p, a, b.column("own")[k].as_py() if shared.value[3] is None else None)
                 clean.append(reader.mend(t, g))
             yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(clean, pa.string())], ["row_id", "clean"])
 

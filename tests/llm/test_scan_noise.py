@@ -131,6 +131,8 @@ def test_a_small_book(spark, rows):
     model = learn(lines, entries)
     assert _of(model, "ahead") == {"Maine": 900, "Ohio": 40} and set(model.shapes) == {"9 =REGISTER =OF =PHYSICIANS", "=REGISTER =OF =PHYSICIANS — P"}
     found = noise_kinds(line_noise(lines, model))
+    apart = learn(lines, entries, sent=0)
+    assert apart.told is None and rows(noise_kinds(line_noise(lines, apart))) == rows(found) and rows(mended(entries, apart)) == rows(mended(entries, model))
     texts = {r.line_id: r.text for r in lines.collect()}
     kinds = {k: {texts[r.key_id] for r in found.where(f"kind = '{k}'").collect()} for k in ("hyphen", "header", "page_number", "misread")}
     assert len(kinds["header"]) == 8 + 2 and all("REGISTER" in t for t in kinds["header"]) and kinds["page_number"] == {str(b + p) for b in (900, 40) for p in (2, 4, 6, 8)}
