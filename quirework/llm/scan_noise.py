@@ -172,7 +172,7 @@ class NoiseModel:
     def attached(self, df: DataFrame) -> DataFrame:
         """`df` with what is known of its publications (ahead, own), if it isn't sent to the tasks."""
         if self.told is not None or self.publications is None:
-            return df.select("*", F.lit(None).cast("bigint").alias("ahead"), F.lit(None).cast("array<string>").alias("own"))
+            return df
         return df.join(self.publications, "_pub", "left")
 
 
@@ -621,6 +621,11 @@ _ASKED = pa.list_(pa.struct([("lft", pa.string()), ("rgt", pa.string()), ("how",
 _ASKED_SQL = "array<struct<lft:string,rgt:string,how:string>>"
 
 
+def _told(b: pa.RecordBatch) -> tuple[list, list]:
+    """What is known of the rows' publications, where it comes with them."""
+    return tuple(b.column(c).to_pylist() if c in b.schema.names else [None] * b.num_rows for c in ("ahead", "own"))
+
+
 def _records(breaks: Iterable[Sequence[Break]]) -> pa.Array:
     return pa.array([[dict(zip(("lft", "rgt", "how"), x)) for x in bs] for bs in breaks], _ASKED)
 
@@ -651,8 +656,8 @@ def line_noise(lines: DataFrame, model: NoiseModel) -> DataFrame:
 
         def rows() -> Iterator[tuple]:
             for b in batches:
-                columns = [b.column(c).to_pylist() for c in ("line_id", "_pub", "page", "piece", "col", "ahead")]
-                yield from zip(*columns, b.column("own").to_pylist() if shared.value[3] is None else [None] * b.num_rows, normalise_array(b.column("text")).to_pylist())
+                columns = [b.column(c).to_pylist() for c in ("line_id", "_pub", "page", "piece", "col")]
+                yield from zip(*columns, *_told(b), normalise_array(b.column("text")).to_pylist())
 
         source = rows()
         row = next(source, None)
@@ -703,9 +708,9 @@ def _entries_read(entries: DataFrame, model: NoiseModel) -> DataFrame:
         reader = Reader(*shared.value)
         for b in batches:
             masks, breaks = [], []
-            for k, (t, p, g, a) in enumerate(zip(normalise_array(b.column("text")).to_pylist(), *(b.column(c).to_pylist() for c in ("_pub", "page", "ahead")))):
+            for t, p, g, a, own in zip(normalise_array(b.column("text")).to_pylist(), *(b.column(c).to_pylist() for c in ("_pub", "page")), *_told(b)):
                 reader.asked = []
-                reader.at(p, a, b.column("own")[k].as_py() if shared.value[3] is None else None)
+                reader.at(p, a, own)
                 masks.append(reader.entry(t, g))
                 breaks.append(tuple(reader.asked))
             yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(masks, pa.int32()), _records(breaks)], ["key_id", "kinds", "breaks"])
@@ -732,10 +737,10 @@ def mended(entries: DataFrame, model: NoiseModel) -> DataFrame:
         reader = Reader(*shared.value)
         for b in batches:
             clean = []
-            for k, (t, p, g, a, bs) in enumerate(zip(normalise_array(b.column("text")).to_pylist(), *(b.column(c).to_pylist() for c in ("_pub", "page", "ahead", "breaks")))):
+            for t, p, g, bs, a, own in zip(normalise_array(b.column("text")).to_pylist(), *(b.column(c).to_pylist() for c in ("_pub", "page", "breaks")), *_told(b)):
                 reader.asked = []
                 reader.judged = {(x["lft"], x["rgt"], x["how"]): True for x in bs or ()}
-                reader.at(p, a, b.column("own")[k].as_py() if shared.value[3] is None else None)
+                reader.at(p, a, own)
                 clean.append(reader.mend(t, g))
             yield pa.RecordBatch.from_arrays([b.column("row_id"), pa.array(clean, pa.string())], ["row_id", "clean"])
 
