@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.runtime import cut
+
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, (left[a].eqNullSafe(right[b]) for a, b in pairs))
@@ -31,10 +33,15 @@ def one_sided(left: DataFrame, right: DataFrame, keys: Sequence[str], reasons: t
     )
 
 
-def look_up(df: DataFrame, key: str, table: DataFrame, table_key: str, columns: Mapping[str, str], default: str = "") -> DataFrame:
-    """`df` with columns of a table of unique keys, `default` where the key is not in it or is null. Of
-    repeated keys the least row counts. Spark broadcasts the table if it is small, and shuffles otherwise."""
-    one = table.groupBy(F.col(table_key).alias("_k")).agg(F.min(F.struct(*columns.values())).alias("_v"))
+def look_up(df: DataFrame, key: str, table: DataFrame, table_key: str, columns: Mapping[str, str], default: str = "", unique: bool = False) -> DataFrame:
+    """`df` with columns of a table, `default` where the key is not in it or is null. Of rows of one key the least
+    counts; with `unique`, a key with differing rows is an error when the result is read. Spark broadcasts the
+    table if it is small, and shuffles otherwise."""
+    row = F.struct(*columns.values())
+    one = table.groupBy(F.col(table_key).alias("_k")).agg(F.min(row).alias("_v"), F.max(row).alias("_w"))
+    if unique:
+        clash = F.raise_error(F.concat(F.lit(f"several rows of {table_key} "), F.col("_k").cast("string")))
+        one = one.withColumn("_v", F.when(F.col("_v").eqNullSafe(F.col("_w")) | F.col("_k").isNull(), F.col("_v")).otherwise(clash))
     met = df.join(one, df[key] == one["_k"], "left")
     return met.select(*(df[c] for c in df.columns), *(F.coalesce(F.col(f"_v.{src}").cast("string"), F.lit(default)).alias(n) for n, src in columns.items()))
 
@@ -70,17 +77,36 @@ def missing_numbers(df: DataFrame, key: str, group: Sequence[str] = ()) -> DataF
     identifiers without digits at the end are passed over."""
     n = F.regexp_extract(key, "([0-9]+)$", 1).try_cast("bigint")
     numbers = df.select(*group, n.alias("n")).where("n is not null").distinct()
-    window = Window.partitionBy(*group).orderBy("n") if group else Window.orderBy("n")
-    return (
-        numbers.withColumn("next", F.lead("n").over(window)).where("next > n + 1")
-        .select(*group, (F.col("n") + 1).alias("first_missing"), (F.col("next") - 1).alias("last_missing"))
-    )
+    if group:
+        parts, keys = numbers, list(group)
+    else:
+        # Without a group, ranges of the numbers: each begins behind the last number of the one before.
+        parts, keys = _ranged(numbers, ["n"]), ["_part"]
+        ends = parts.groupBy("_part").agg(F.max("n").alias("n")).select((F.col("_part") + 1).alias("_part"), "n")
+        parts = parts.unionByName(ends)
+    gaps = parts.withColumn("next", F.lead("n").over(Window.partitionBy(*keys).orderBy("n"))).where("next > n + 1")
+    return gaps.select(*group, (F.col("n") + 1).alias("first_missing"), (F.col("next") - 1).alias("last_missing"))
+
+
+def _ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """`df` in ranges of an order, numbered without a gap in `_part`, written once so that the ranges stay."""
+    laid = cut(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+    # One row for each task.
+    numbers = laid.select("_p").distinct().withColumn("_part", F.row_number().over(Window.orderBy("_p")))
+    return laid.join(F.broadcast(numbers), "_p").drop("_p")
 
 
 def in_batches(df: DataFrame, order: Sequence[str], size: int, within: Sequence[str] = ()) -> DataFrame:
-    """`df` with batch_id, counting from 0, of `size` rows each in order."""
-    window = Window.partitionBy(*within).orderBy(*order) if within else Window.orderBy(*order)
-    return df.withColumn("batch_id", F.floor((F.row_number().over(window) - 1) / size).cast("bigint"))
+    """`df` with batch_id, counting from 0, of `size` rows each in order. Without groups the rows are numbered in
+    ranges of the order, each going on from the rows of those before, so that no task holds them all."""
+    if within:
+        return df.withColumn("batch_id", F.floor((F.row_number().over(Window.partitionBy(*within).orderBy(*order)) - 1) / size).cast("bigint"))
+    laid = _ranged(df, order)
+    counts = laid.groupBy("_part").agg(F.count("*").alias("_n"))
+    # One row for each task.
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    row = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return laid.join(F.broadcast(before), "_part").withColumn("batch_id", F.floor((F.col("_before") + row - 1) / size).cast("bigint")).drop("_part", "_before")
 
 
 def side_by_side(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str], within: Sequence[str]) -> DataFrame:

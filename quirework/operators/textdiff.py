@@ -16,9 +16,9 @@ CONTEXT = 10
 CHANGE = "array<struct<change:string,text_in:string,text_out:string,before_in:string,after_in:string,before_out:string,after_out:string>>"
 
 
-def _changes(a: str, b: str) -> list[dict[str, str]]:
+def _changes(a: str, b: str, junk: bool) -> list[dict[str, str]]:
     out = []
-    for tag, i, j, k, m in SequenceMatcher(None, a, b).get_opcodes():
+    for tag, i, j, k, m in SequenceMatcher(None, a, b, autojunk=junk).get_opcodes():
         if tag != "equal":
             out.append({
                 "change": tag, "text_in": a[i:j], "text_out": b[k:m],
@@ -28,9 +28,11 @@ def _changes(a: str, b: str) -> list[dict[str, str]]:
     return out
 
 
-def text_changes(pairs: DataFrame, key: str, text_in: str, text_out: str) -> DataFrame:
+def text_changes(pairs: DataFrame, key: str, text_in: str, text_out: str, junk: bool = True) -> DataFrame:
     """One row per change between the two texts of a row: its key, ordinal, kind (replace, delete, insert), the
-    changed parts and their surroundings. Equal texts never leave the JVM; null counts as empty."""
+    changed parts and their surroundings. Equal texts never leave the JVM; null counts as empty. With `junk`, as printed
+    reports have it, characters that make up over a hundredth of a text of 200 characters or more are not matched
+    by themselves; without it, all are."""
     a, b = F.coalesce(F.col(text_in), F.lit("")), F.coalesce(F.col(text_out), F.lit(""))
     unequal = pairs.select(F.col(key).alias("key"), a.alias("a"), b.alias("b")).where("a <> b")
 
@@ -39,7 +41,7 @@ def text_changes(pairs: DataFrame, key: str, text_in: str, text_out: str) -> Dat
         for batch in batches:
             at, no, cols = [], [], {n: [] for n in names}
             for k, (x, y) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
-                for i, c in enumerate(_changes(x, y), 1):
+                for i, c in enumerate(_changes(x, y, junk), 1):
                     at.append(k)
                     no.append(i)
                     for n in names:

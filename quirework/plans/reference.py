@@ -269,21 +269,21 @@ def sampled_entries(spark, d):
     return _entries(spark, d).join(chosen, key, "left_semi").select("row_id")
 
 
-@_query("""with a as (select distinct pub, page, col from ocr_lines), b as (select distinct publication as pub, page_number as page, col_no as col from classified_lines_b where entry_type = 'CITY')
+@_query("""with a as (select distinct pub, page, col from ocr_lines), b as (select distinct publication as pub, page_number as page, col_no as col from classified_lines_b)
   select coalesce(a.pub, b.pub) as pub, coalesce(a.page::varchar, b.page) as page, coalesce(a.col, b.col) as col,
-    case when b.pub is null then 'no city' else 'no lines' end as reason
+    case when b.pub is null then 'no entry' else 'no lines' end as reason
   from a full join b on a.pub = b.pub and a.page = try_cast(b.page as int) and a.col = b.col where a.pub is null or b.pub is null""")
 def outer_reasons(spark, d):
-    """Columns with lines but without a city in the second system, and the other way round."""
+    """Columns with lines but without an entry in the second system, and the other way round."""
     lines = load(spark, d, "ocr_lines").select("pub", F.col("page").cast("string").alias("page"), "col", F.col("page").alias("n"))
-    other = load(spark, d, "classified_lines_b").where("entry_type = 'CITY'").select(
+    other = load(spark, d, "classified_lines_b").select(
         F.col("publication").alias("pub"), F.col("page_number").alias("page"), F.col("col_no").alias("col"), F.col("page_number").try_cast("int").alias("n")
     )
     a, b = lines.select("pub", "n", "col").distinct(), other.select("pub", "n", "col", "page").distinct()
     met = a.join(b.withColumnsRenamed({"pub": "rp", "n": "rn", "col": "rc"}), (F.col("pub") == F.col("rp")) & (F.col("n") == F.col("rn")) & (F.col("col") == F.col("rc")), "full_outer")
     return met.where("pub is null or rp is null").select(
         F.coalesce("pub", "rp").alias("pub"), F.coalesce(F.col("n").cast("string"), "page").alias("page"), F.coalesce("col", "rc").alias("col"),
-        F.when(F.col("rp").isNull(), "no city").otherwise("no lines").alias("reason"),
+        F.when(F.col("rp").isNull(), "no entry").otherwise("no lines").alias("reason"),
     )
 
 
@@ -426,6 +426,28 @@ def column_deviation(spark, d):
     return statistics.column_deviation(_lines(spark, d), ("pub", "page"), "col", "line_id")
 
 
+@_query(f"""with c as (select pub, page, col from ocr_lines union select publication, page_number, col_no from classified_lines), p as (select pub, page, col, count(*) as n from {_L} group by all),
+  f as (select c.pub, c.page, coalesce(p.n, 0) as n from c left join p on c.pub is not distinct from p.pub and c.page is not distinct from p.page and c.col is not distinct from p.col)
+  select pub, page, avg(n) as mean_lines, greatest(avg(n) - min(n), max(n) - avg(n)) as deviation from f group by all""", rounded=('mean_lines', 'deviation'))
+def known_columns_deviation(spark, d):
+    """As above, with the columns that only entries have counting 0 lines."""
+    named = load(spark, d, "classified_lines").select(F.col("publication").alias("pub"), F.col("page_number").alias("page"), F.col("col_no").alias("col"))
+    return statistics.column_deviation(_lines(spark, d), ("pub", "page"), "col", "line_id", named)
+
+
+@_query("""with a as (select pub, count(distinct page) as n_pages, count(distinct (page, col)) as n_columns from ocr_lines where pub is not null group by pub),
+  b as (select publication as pub, count(distinct page_number) as n_pages, count(distinct (page_number, col_no)) as n_columns from classified_lines where publication is not null group by publication)
+  select coalesce(a.pub, b.pub) as pub, coalesce(a.n_pages, 0) as pages_in, coalesce(b.n_pages, 0) as pages_out, coalesce(a.n_columns, 0) as columns_in, coalesce(b.n_columns, 0) as columns_out from a full join b on a.pub = b.pub""")
+def level_counts(spark, d):
+    """Pages and columns of each publication before and after classification."""
+    def side(name, pub, page, col, end):
+        t = load(spark, d, name).where(F.col(pub).isNotNull()).groupBy(F.col(pub).alias("pub"))
+        return t.agg(F.count_distinct(page).alias(f"pages_{end}"), F.count_distinct(F.struct(page, col)).alias(f"columns_{end}"))
+
+    met = side("ocr_lines", "pub", "page", "col", "in").join(side("classified_lines", "publication", "page_number", "col_no", "out"), "pub", "full_outer")
+    return met.na.fill(0, [f"{n}_{e}" for n in ("pages", "columns") for e in ("in", "out")]).select("pub", "pages_in", "pages_out", "columns_in", "columns_out")
+
+
 # --- order ----------------------------------------------------------------------------------------------
 
 
@@ -483,6 +505,19 @@ def request_batches(spark, d):
     return tables.in_batches(_doctors(spark, d), ("row_id",), 20, ("publication",)).select("row_id", "publication", "batch_id")
 
 
+@_query(f"select row_id, ((row_number() over (order by row_id) - 1) // 20)::bigint as batch_id from {_D}")
+def global_batches(spark, d):
+    """Requests in batches of twenty over the whole table."""
+    return tables.in_batches(_doctors(spark, d).select("row_id"), ("row_id",), 20)
+
+
+@_query("""with n as (select distinct try_cast(regexp_extract(entry_id, '([0-9]+)$', 1) as bigint) as n from doc_entries), g as (select n, lead(n) over (order by n) as nx from n where n is not null)
+  select n + 1 as first_missing, nx - 1 as last_missing from g where nx > n + 1""")
+def global_gaps(spark, d):
+    """Numbers that no doctor's identifier has."""
+    return tables.missing_numbers(load(spark, d, "doc_entries"), "entry_id")
+
+
 # --- classification, grouping, parsing ------------------------------------------------------------------
 
 
@@ -495,6 +530,14 @@ def line_types(spark, d):
     )
 
 
+@_query(f"""select row_id, regexp_matches(full_text, '^[A-Z\\s]+$') as state, not regexp_matches(full_text, '^[A-Z\\s]+$') and contains(full_text, ',') and
+  regexp_full_match(full_text, '([a-zA-Z\\s.,()'']+),\\s?(?:(?:([0-9,]+?)|-),\\s?)?([a-zA-Z().\\s-]+)') as city from {_E} where full_text is not null""")
+def heading_types(spark, d):
+    """Which entries are headings of states or of cities by the strict grammar."""
+    kind = grammar.line_type(F.col("full_text"))
+    return _entries(spark, d).where("full_text is not null").select("row_id", (kind == "STATE").alias("state"), (kind == "CITY").alias("city"))
+
+
 @_query()
 def entry_groups(spark, d):
     """Lines grouped into entries, with kinds, texts and boxes."""
@@ -511,7 +554,16 @@ def city_heads(spark, d):
     return c.select("row_id", "c.city", "c.population")
 
 
-@_query()
+_CITY = "'(?s)^(.+?),\\s*(?:([0-9][0-9,.]*|-)\\s*,\\s*)?([^,0-9]+?)\\.?\\s*$'"
+_POST = "'(?s)^(.*?)\\s*\\((?:(R\\.?\\s?F\\.?\\s?D\\.*|R\\.?\\s?D\\.?|P\\.?\\s?O\\.?),?\\s+)?([^()]+?)(?:\\s+(P\\.?\\s?O\\.?))?\\)$'"
+
+
+@_query(f"""with c as (select row_id, full_text, nullif(regexp_extract(full_text, {_CITY}, 3), '') as county from {_E} where entry_type = 'CITY'),
+  k as (select *, regexp_matches(county, {_POST}) as found, upper(regexp_replace(regexp_extract(county, {_POST}, 2) || regexp_extract(county, {_POST}, 4), '[^A-Za-z]', '', 'g')) as kind from c)
+  select row_id, trim(nullif(regexp_extract(full_text, {_CITY}, 1), ''), ' ') as city, try_cast(regexp_replace(nullif(regexp_extract(full_text, {_CITY}, 2), ''), '[,.]', '', 'g') as int) as population,
+    trim(case when found and kind <> '' then nullif(regexp_extract(county, {_POST}, 1), '') else county end, ' ') as county,
+    case when found and kind <> '' then nullif(regexp_extract(county, {_POST}, 3), '') end as post_reference,
+    case when found and kind <> '' then case when kind = 'PO' then 'PO' else 'RFD' end end as post_reference_type from k""")
 def city_parse(spark, d):
     c = _entries(spark, d).where("entry_type = 'CITY'").select("row_id", grammar.city_fields(F.col("full_text")).alias("c"))
     return c.select("row_id", "c.*")
@@ -595,19 +647,32 @@ def chi_square_statistic(spark, d):
     return statistics.chi_square(rates.select("grp", "n", "n_errors")).select("grp", "n", "n_errors", "chi2")
 
 
-@_query()
+_ERFC = "0.0"
+for _c in statistics.ERFC:
+    _ERFC = f"({_ERFC} * t + ({_c}))"
+
+
+@_query(f"""with m as (select {", ".join(f"(a.{c} is distinct from b.{c})::int as d_{c}" for c in _CELLS)} from {_E} a join {_EB} b on a.row_id = b.row_id),
+  g as ({" union all ".join(f"select '{c}' as grp, count(*) as n, sum(d_{c})::bigint as n_errors from m" for c in _CELLS)}
+    union all select '(cells)', count(*) * {len(_CELLS)}, sum({" + ".join(f"d_{c}" for c in _CELLS)})::bigint from m
+    union all select '(rows)', count(*), sum(greatest({", ".join(f"d_{c}" for c in _CELLS)}))::bigint from m),
+  s as (select *, pow(n_errors - n * 0.005, 2) / (n * 0.005) + pow(n * 0.005 - n_errors, 2) / (n - n * 0.005) as chi2 from g), x as (select *, sqrt(chi2 / 2) as x, 1 / (1 + sqrt(chi2 / 2) / 2) as t from s),
+  p as (select *, least(1.0, t * exp({_ERFC} - x * x)) as p_value from x)
+  select grp, n, n_errors, chi2, p_value, case when p_value < 0.05 then case when n_errors / n::double < 0.005 then 'lower' else 'higher' end else '' end as significant from p""", rounded=('chi2', 'p_value'))
 def chi_square(spark, d):
     rates = statistics.error_rates(_entries(spark, d), _entries(spark, d, "classified_lines_b"), "row_id", _CELLS)
     return statistics.chi_square(rates.select("grp", "n", "n_errors"))
 
 
-@_query(f"""with m as (select a.row_id, a.full_text as a, replace(b.full_text, '0.', 'O.') as b from {_E} a join {_EB} b on a.row_id = b.row_id),
-  x as (select *, row_number() over (order by row_id) as i from m where a is distinct from b) select row_id, a, b from x where i <= 10""")
+@_query(f"""with m as ({" union all ".join(f"select a.row_id, '{c}' as field, a.{c}::varchar as a, replace(b.{c}::varchar, '0.', 'O.') as b from {_E} a join {_EB} b on a.row_id = b.row_id" for c in _CELLS)}),
+  x as (select *, row_number() over (partition by field order by row_id) as i from m where a is distinct from b) select row_id, field, a, b from x where i <= 10""")
 def first_differences(spark, d):
-    """The first ten differing texts, after the one easy repair (a report)."""
+    """The first ten differing values of each column, after the one easy repair (a report)."""
     a, b = _entries(spark, d), _entries(spark, d, "classified_lines_b")
-    m = a.select("row_id", F.col("full_text").alias("a")).join(b.select("row_id", F.replace(F.col("full_text"), F.lit("0."), F.lit("O.")).alias("b")), "row_id")
-    return m.where(statistics.differs(F.col("a"), F.col("b"))).orderBy("row_id").limit(10)
+    cell = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("a"), F.replace(F.col(f"o_{c}").cast("string"), F.lit("0."), F.lit("O.")).alias("b"))
+    met = a.select("row_id", *_CELLS).join(b.select("row_id", *(F.col(c).alias(f"o_{c}") for c in _CELLS)), "row_id")
+    each = met.select("row_id", F.explode(F.array(*map(cell, _CELLS))).alias("c")).select("row_id", "c.*").where(statistics.differs(F.col("a"), F.col("b")))
+    return each.withColumn("i", F.row_number().over(Window.partitionBy("field").orderBy("row_id"))).where("i <= 10").drop("i")
 
 
 @_query()

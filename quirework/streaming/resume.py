@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,7 +83,8 @@ def answered(
     requests: DataFrame, answer: T.StructType, extract: Extractor, size: int = 20, attempts: int = 2,
     backoff: Backoff | None = None, sleep: Callable[[float], None] = time.sleep,
 ) -> DataFrame:
-    """The requests' answers and `failed`; batches of at most `size` go to the extractor within each task."""
+    """The requests' answers and `failed`; batches of at most `size` go to the extractor within each task. An answer
+    whose finish_reason is another than STOP counts as failed and keeps what it has."""
     names = [f.name for f in answer.fields]
     schema = T.StructType([*answer.fields, T.StructField("failed", T.BooleanType())])
     shared = [n for n in names if n in requests.columns]
@@ -91,8 +93,11 @@ def answered(
         waiting = backoff or Backoff()
         for left in range(attempts, 0, -1):
             try:
-                got = extract(batch).reindex(columns=names)
-                got["failed"] = False
+                raw = extract(batch)
+                # An answer that ended for another reason than STOP is set apart.
+                bad = raw["finish_reason"].fillna("STOP").ne("STOP").to_numpy() if "finish_reason" in raw else False
+                got = raw.reindex(columns=names)
+                got["failed"] = bad
                 return got
             except Busy:
                 sleep(waiting.after(False))
@@ -115,6 +120,56 @@ def numbered_batches(requests: DataFrame, order: Sequence[str], size: int, withi
     return in_batches(requests, order, size, within)
 
 
+def _written(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table at a path, None if nothing is there yet; any other error of reading is one."""
+    try:
+        return spark.read.parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def continued(extract: Extractor, text: str = "answer", prompt: str = "prompt", reason: str = "finish_reason", most: int = 3) -> Extractor:
+    """An extractor that asks on where an answer was cut off for its length: the prompt with the answer so far is
+    sent again, up to `most` times, and what comes is put behind it. An answer that ended for another reason than
+    STOP keeps it."""
+
+    def ask(batch: pd.DataFrame) -> pd.DataFrame:
+        got = extract(batch).reset_index(drop=True)
+        for _ in range(most):
+            open_ = got.index[got[reason] == "MAX_TOKENS"]
+            if not len(open_):
+                break
+            again = batch.loc[open_].copy()
+            again[prompt] = again[prompt] + got.loc[open_, text].fillna("")
+            more = extract(again.reset_index(drop=True)).set_index(open_)
+            got.loc[open_, text] = got.loc[open_, text].fillna("") + more[text].fillna("")
+            got.loc[open_, reason] = more[reason]
+        return got
+
+    return ask
+
+
+def in_waves(
+    spark: SparkSession, pending: Callable[[DataFrame | None], DataFrame], ask: Callable[[DataFrame], DataFrame], target: str, order: Sequence[str], size: int = 20, in_flight: int = 100,
+) -> int:
+    """Work in waves: each sends the next in_flight * size pending requests in order, appends the answers to
+    `target`, and makes room for as many as were finished. `pending` gives what is left, from what is written (None
+    before the first wave); it is asked again after each wave, so that a run that stops goes on where it was. A wave
+    that brings no row ends the run. The number of waves."""
+    waves = 0
+    while True:
+        before = _written(spark, target)
+        wave = pending(before).orderBy(*order).limit(in_flight * size)
+        answers = ask(wave)
+        known = before.count() if before is not None else 0
+        answers.write.mode("append").parquet(target)
+        if _written(spark, target).count() == known:
+            return waves
+        waves += 1
+
+
 def follow_files(
     spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
     keys: Sequence[str], files_at_once: int = 100,
@@ -125,10 +180,7 @@ def follow_files(
 
     def add(batch: DataFrame, _: int) -> None:
         new = transform(batch).dropDuplicates(list(keys))
-        try:
-            known = batch.sparkSession.read.parquet(target)
-        except Exception:  # noqa: BLE001 - there is no target before the first batch
-            known = None
+        known = _written(batch.sparkSession, target)
         if known is not None:
             new = unfinished(new, [known], [(k, k) for k in keys])
         new.write.mode("append").parquet(target)

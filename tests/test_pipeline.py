@@ -6,6 +6,7 @@ from datetime import datetime as dt
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +14,7 @@ from quirework.functions import clean, codes
 from quirework.operators import quality, statistics, tables, textdiff
 from quirework.plans import export
 from quirework.sources import readers, writers
-from quirework.streaming import resume
+from quirework.streaming import resume, steps
 
 
 def _one(spark, values, column):
@@ -201,3 +202,81 @@ def test_export(spark):
     r = next(x for x in got if x["physician.name"] == "KAY")
     assert (r["unique.id"], r["orig.city"], r["school.code"], r["graduation.date"], r["license.date"], r["birth.date"]) == ("NEW YORK_001_00_000003", "Town", "ALA.4", "1911", None, "1906")
     assert (r["hours"], r["specialties"], r["medical.corps"], r["ama.fellow"], r["race.black"]) == ('="9-11:30"', "Path*", "Navy Reserve", 1, 0)
+
+
+def test_answers_cut_off_are_continued_and_bad_ones_set_apart(spark, rows):
+    def extract(batch):
+        full = batch["prompt"].str.split("=").str[0].map({"a": "one two three", "b": "x", "c": "unsafe"})
+        left = [f[len(p.split("=")[1]) :] for f, p in zip(full, batch["prompt"])]
+        return pd.DataFrame({"key": batch["key"], "answer": [t[:5] for t in left], "finish_reason": ["SAFETY" if t == "unsafe" else "MAX_TOKENS" if len(t) > 5 else "STOP" for t in left]})
+
+    requests = spark.createDataFrame([(k, f"{k}=") for k in "abc"], "key string, prompt string")
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("answer", T.StringType())])
+    got = resume.answered(requests.coalesce(1), schema, resume.continued(extract, most=5), size=3)
+    assert rows(got, "key", "answer", "failed") == [("a", "one two three", False), ("b", "x", False), ("c", "unsaf", True)]
+    once = resume.answered(requests.coalesce(1), schema, resume.continued(extract, most=1), size=3)
+    assert rows(once.where("failed"), "key") == [("a",), ("c",)]
+
+
+def test_waves_of_bounded_size_go_on_where_they_stopped(spark, rows, tmp_path):
+    data, sizes = spark.createDataFrame([(k,) for k in range(23)], "k int"), []
+    target = f"{tmp_path}/out"
+
+    def ask(wave):
+        sizes.append(wave.count())
+        return wave.withColumn("answer", F.col("k") * 2)
+
+    pending = lambda done: data if done is None else data.join(done, "k", "left_anti")
+    assert resume.in_waves(spark, pending, ask, target, ["k"], size=2, in_flight=5) == 3 and sizes == [10, 10, 3, 0]
+    assert resume.in_waves(spark, pending, ask, target, ["k"], size=2, in_flight=5) == 0
+    assert rows(spark.read.parquet(target), "k", "answer") == sorted([(k, 2 * k) for k in range(23)], key=repr)
+
+
+def test_the_steps_of_the_pipeline(spark, rows):
+    snippets = spark.createDataFrame([("P", 1, c, f"P_{c}.jpg") for c in range(3)], "pub string, page int, col int, path string")
+    done = snippets.where("col = 0").select("pub", "page", "col")
+    ocr = steps.OcrStep(lambda _: snippets, lambda _: done)
+    answer = lambda b: pd.DataFrame({"key": b["key"], "answer": [f'[{{"text": "{p[-7:]}", "x": 1}}, {{"text": "z", "x": 2}}]' for p in b["prompt"]], "finish_reason": "STOP"})
+    lines = ocr.lines(resume.BatchRunner(ocr, answer).run(spark, ["key"]))
+    assert rows(lines, "pub", "page", "col", "line_no", "text", "x") == [("P", 1, c, k, t, k + 1) for c in (1, 2) for k, t in ((0, f"P_{c}.jpg"), (1, "z"))]
+    classify = steps.ClassifyStep(lambda _: lines, lambda _: spark.createDataFrame([("P|1|1",)], "key string"))
+    assert rows(classify.requests(resume.BatchRunner(classify, answer).pending(spark))) == [("P|1|2", "0: P_2.jpg\n1: z")]
+    entries = spark.createDataFrame([("e1", "P", "DOC", "t1"), ("e2", "P", "CITY", "t2"), ("e3", "P", "DOC", "t3")], "entry_id string, publication string, entry_type string, full_text string")
+    parse = steps.EntryStep(lambda _: entries, lambda _: entries.where("entry_id = 'e3'").select("entry_id", "publication"))
+    assert rows(parse.requests(resume.BatchRunner(parse, answer).pending(spark))) == [("e1", "P", "t1")]
+
+
+def test_batches_and_gaps_over_ranges(spark, rows):
+    ids = spark.range(1, 1001).where("id % 97 <> 0 and id not between 500 and 520").select(F.concat(F.lit("x"), "id").alias("k"), F.col("id").alias("n")).repartition(7)
+    got = tables.in_batches(ids, ["n"], 50).groupBy("batch_id").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi")).orderBy("batch_id").collect()
+    assert all(r.c == 50 for r in got[:-1]) and all(a.hi < b.lo for a, b in zip(got, got[1:])) and sum(r.c for r in got) == ids.count()
+    assert rows(tables.missing_numbers(ids, "k")) == sorted([(n, n) for n in range(97, 1000, 97)] + [(500, 520)], key=repr)
+
+
+def test_lookups_of_unique_keys(spark, rows):
+    t = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    df = spark.createDataFrame([(1,), (3,), (None,)], "k int")
+    assert rows(tables.look_up(df, "k", t, "k", {"w": "v"}, unique=True), "w") == [("",), ("",), ("a",)]
+    with pytest.raises(Exception, match="several rows"):
+        tables.look_up(df, "k", t.union(spark.createDataFrame([(1, "z")], t.schema)), "k", {"w": "v"}, unique=True).collect()
+
+
+def test_columns_without_lines_count(spark, rows):
+    lines = spark.createDataFrame([("P", 1, 0, k) for k in range(6)] + [("P", 1, 1, k) for k in range(3)], "pub string, page int, col int, line_id int")
+    columns = spark.createDataFrame([("P", 1, c) for c in range(3)], "pub string, page int, col int")
+    got = rows(statistics.column_deviation(lines, ("pub", "page"), "col", "line_id", columns))
+    assert got == [("P", 1, 3.0, 3.0)] and rows(statistics.column_deviation(lines, ("pub", "page"), "col", "line_id")) == [("P", 1, 4.5, 1.5)]
+
+
+def test_error_function(spark):
+    import math
+
+    xs = [0.0, 1e-6, 0.1, 0.5, 1.0, 1.386, 2.0, 4.0, 8.0]
+    for r in spark.createDataFrame([(x,) for x in xs], "x double").select("x", statistics.erfc(F.col("x")).alias("e")).collect():
+        assert abs(r.e - math.erfc(r.x)) <= 1.3e-7 * math.erfc(r.x)
+
+
+def test_changes_with_and_without_junk(spark):
+    a, b = "ab" * 150 + "x", "ab" * 150 + "y"
+    df = spark.createDataFrame([(1, a, b)], "k int, a string, b string")
+    assert textdiff.text_changes(df, "k", "a", "b", junk=False).select("text_in", "text_out").collect() == [("x", "y")]
