@@ -47,7 +47,7 @@ def test_recall_of_the_bands_against_brute_force(spark):
         k = rng.randrange(1, len(n) - 1)
         return rng.choice([n, n[:k] + n[k + 1 :], n[:k] + n[k] + n[k:], n[:k] + n[k + 1] + n[k] + n[k + 2 :], n[:k] + rng.choice("aeiorn") + n[k + 1 :]])
 
-    data = [(k, "t1" if k % 3 else "t2", f"{rng.randrange(1, 12)} {rng.choice(['', 'N. ', 'S. '])}{spoil(rng.choice(names))} {rng.choice(['St.', 'Ave.', ''])}", None) for k in range(3000)]
+    data = [(k, "t1" if k % 3 else "t2", f"{rng.randrange(1, 12)} {rng.choice(['', 'N. ', 'S. '])}{spoil(rng.choice(names))} {rng.choice(['St.', 'Ave.', ''])}", None) for k in range(1500)]
     df = spark.createDataFrame(data, "row_id bigint, city_id string, address string, office string")
     found = members(df, "row_id", "city_id", ("address", "office"))
     forms = {(r.town, r.form) for r in found.collect()}
