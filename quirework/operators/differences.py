@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirework.runtime import cut
+from quirework.runtime import SENT, cut
 
 #: Characters dropped around a string before it is compared: blank, tab and line ends.
 OUTER = " \t\r\n"
@@ -49,7 +49,8 @@ def copy_differences(
     Plan: rows are told apart by fingerprints of 128 bits of their normalised fields, so that only keys,
     versions and fingerprints are shuffled, one row per key and side and task. EXCEPT ALL is taken in both
     directions at once, as signed counts of (key, fingerprint), and the two residues are full-joined by key.
-    The fields are then fetched, in a second reading, for the keys whose rows differ, and for these only.
+    The fields are then fetched, in a second reading, for the keys whose rows differ, and for these only; these keys
+    are sent to all tasks if there are few, and joined by a shuffle else.
     Rows without a key are spread by their fingerprints.
     """
     shared = [c for c in left.columns if c in set(right.columns) and c not in {key, version, *ignore}]
@@ -86,11 +87,15 @@ def copy_differences(
     if not shared:
         return missing
 
+    changed = residues.where("a is not null and b is not null")
+    few = changed.count() <= SENT
+
     def fetched(df: DataFrame, column: str) -> DataFrame:
-        wanted = residues.where("a is not null and b is not null").select(F.col("key_id").alias("k_"), F.col(f"{column}.h1").alias("p1"), F.col(f"{column}.h2").alias("p2"))
-        met = df.join(wanted, (F.col("key_id") == F.col("k_")) & (F.col("h1") == F.col("p1")) & (F.col("h2") == F.col("p2")), "left_semi")
+        wanted = changed.select(F.col("key_id").alias("k_"), F.col(f"{column}.h1").alias("p1"), F.col(f"{column}.h2").alias("p2"))
+        same = (F.col("key_id") == F.col("k_")) & (F.col("h1") == F.col("p1")) & (F.col("h2") == F.col("p2"))
+        met = df.join(F.broadcast(wanted) if few else wanted, same, "left_semi")
         return met.groupBy("key_id").agg(F.max(F.struct(*names)).alias(column))
 
     both = fetched(a, "a").join(fetched(b, "b"), "key_id")
-    changed = F.array_compact(F.array(*(F.when(F.col(f"a.{n}") != F.col(f"b.{n}"), F.lit(c)) for c, n in zip(shared, names))))
-    return missing.unionByName(both.select("key_id", F.explode(changed).alias("field"), F.lit("differs").alias("kind")))
+    fields = F.array_compact(F.array(*(F.when(F.col(f"a.{n}") != F.col(f"b.{n}"), F.lit(c)) for c, n in zip(shared, names))))
+    return missing.unionByName(both.select("key_id", F.explode(fields).alias("field"), F.lit("differs").alias("kind")))
