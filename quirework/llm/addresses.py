@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quirework.llm.strings import edits
-from quirework.runtime import cut
+from quirework.runtime import SENT, cut
 
 #: Abbreviations of the words of an address, each with the word it stands for. Fixed values.
 KINDS = {"st": "street", "str": "street", "street": "street", "ave": "avenue", "av": "avenue", "avenue": "avenue", "rd": "road", "road": "road", "pl": "place", "place": "place", "blvd": "boulevard", "boul": "boulevard", "bd": "boulevard", "boulevard": "boulevard", "sq": "square", "square": "square", "ct": "court", "court": "court", "ln": "lane", "lane": "lane", "dr": "drive", "drive": "drive", "ter": "terrace", "terr": "terrace", "terrace": "terrace", "pk": "pike", "pike": "pike", "al": "alley", "alley": "alley"}
@@ -318,7 +318,15 @@ def same_forms(found: DataFrame) -> DataFrame:
             ok = [alignment_cost(f, g) <= MOST for f, g in zip(b.column("form_a").to_pylist(), b.column("form_b").to_pylist())]
             yield b.filter(pa.array(ok, pa.bool_()))
 
-    signed = forms.select(F.xxhash64("town").alias("town_h"), "id", "form").mapInArrow(sign, "town_h bigint, id bigint, h bigint")
+    # Forms that no other of the town shares the house number, or the kind of building, with meet none, and boxes
+    # and routes only themselves.
+    kind = F.substring_index("form", "|", 1)
+    lead = F.when(kind == "street", F.substring_index("form", "|", 3)).when(kind == "building", F.substring_index("form", "|", 2))
+    led = forms.select(F.xxhash64("town").alias("town_h"), "id", "form", lead.alias("lead")).where("lead is not null")
+    groups = cut(led.groupBy("town_h", "lead").agg(F.count("*").alias("n")).where("n > 1").select("town_h", "lead"))
+    met_by = F.broadcast(groups) if groups.count() <= SENT else groups
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed = led.join(met_by, ["town_h", "lead"], "left_semi").select("town_h", "id", "form").repartition(parts, "id").mapInArrow(sign, "town_h bigint, id bigint, h bigint")
     keyed = cut(signed.select(F.xxhash64("town_h", "h").alias("k"), "id"))
     # Most keys are one form's; only those of several are met.
     several = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
