@@ -177,6 +177,7 @@ class Gazetteer:
     blocks: dict[str | None, Block] = field(default_factory=dict)
     known: dict[tuple, tuple[int, str, float]] = field(default_factory=dict)
     liked: dict[tuple, dict[int, float]] = field(default_factory=dict)
+    read: dict[tuple, str | None] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         patterns: dict[str, list[tuple[int, bool]]] = defaultdict(list)
@@ -192,6 +193,15 @@ class Gazetteer:
             self.automaton.make_automaton()
 
     def state(self, written: str | None, publication: str | None) -> str | None:
+        """The state that is written, else that of the publication; None if neither can be read."""
+        key = (written, publication)
+        if key not in self.read:
+            if len(self.read) > 200_000:
+                self.read.clear()
+            self.read[key] = self._state(*key)
+        return self.read[key]
+
+    def _state(self, written: str | None, publication: str | None) -> str | None:
         for s in (written, publication):
             if not s:
                 continue
