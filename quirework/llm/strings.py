@@ -18,22 +18,41 @@ def edits(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    # What both begin or end with costs nothing.
+    k, n = 0, min(len(a), len(b))
+    while k < n and a[k] == b[k]:
+        k += 1
+    n -= k
+    z = 0
+    while z < n and a[-1 - z] == b[-1 - z]:
+        z += 1
+    a, b = a[k : len(a) - z], b[k : len(b) - z]
+    if not a or not b:
+        return min(len(a) + len(b), most + 1)
+    far = most + 1
     before: list[int] = []
     last = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
-        row = [i]
-        low = i
-        for j, y in enumerate(b, 1):
-            d = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            row.append(d)
+        # Only places at most `most` from the diagonal can be reached with so few edits.
+        first, stop = max(1, i - most), min(len(b), i + most)
+        row = [far] * (len(b) + 1)
+        row[0] = low = i
+        for j in range(first, stop + 1):
+            y = b[j - 1]
+            d = last[j - 1] + (x != y)
+            if last[j] < d:
+                d = last[j] + 1
+            if row[j - 1] < d:
+                d = row[j - 1] + 1
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] < d:
+                d = before[j - 2] + 1
+            row[j] = d
             if d < low:
                 low = d
         if low > most:
-            return most + 1
+            return far
         before, last = last, row
-    return last[-1]
+    return min(last[-1], far)
 
 
 def likeness(a: str, b: str) -> float:

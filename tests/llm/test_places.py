@@ -56,6 +56,25 @@ def test_edits():
     assert likeness("ormham", "orrnham") > 0.8 and likeness("abc", "xyz") == 0.0
 
 
+def _plain_edits(a, b):
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def test_edits_against_the_plain_recurrence():
+    rng = random.Random(1)
+    for _ in range(4000):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(0, 9)))
+        b = "".join(rng.choice("abc") for _ in range(rng.randrange(0, 9))) if rng.random() < 0.5 else a[: rng.randrange(9)] + rng.choice("abc") + a[2:]
+        for most in range(6):
+            assert edits(a, b, most) == min(_plain_edits(a, b), most + 1), (a, b, most)
+
+
 def test_locate(spark, rows):
     g = spark.createDataFrame(PLACES, "place_id int, name string, county_name string, state_name string, former_name string, population int")
     cities = [(k, *c[0], "x", 9) for k, c in enumerate(CASES)]
