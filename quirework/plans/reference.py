@@ -542,7 +542,7 @@ def heading_types(spark, d):
 def entry_groups(spark, d):
     """Lines grouped into entries, with kinds, texts and boxes."""
     lines = _lines(spark, d).where(clean.is_readable(F.col("text")))
-    return grouping.group_entries(lines.withColumn("text", clean.clean_line(F.col("text"))), kind_of=grammar.wide_line_type)
+    return grouping.group_entries(lines.withColumn("text", clean.clean_line(F.col("text"))), kind_of=grammar.wide_line_type, mend=True)
 
 
 @_query(f"""select row_id, trim(nullif(regexp_extract(full_text, '(?s)^(.+?),\\s*(?:([0-9][0-9,.]*|-)\\s*,\\s*)?([^,0-9]+?)\\.?\\s*$', 1), '')) as city,
