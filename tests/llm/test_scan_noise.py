@@ -171,3 +171,28 @@ def test_ten_thousand_publications_hide_no_head(spark, rows):
     model = learn(lines, spark.createDataFrame([], "row_id bigint, publication string, page_number int, full_text string, loaded_at int"))
     found = noise_kinds(line_noise(lines, model)).where("kind = 'header'")
     assert rows(found.where("key_id < 1000")) == [(p * 10, "header") for p in range(1, 7)] and found.count() == 60_006
+
+
+@pytest.mark.parametrize("shift", [0, 40])
+def test_many_copies_of_a_book_lose_nothing(spark, rows, shift):
+    """Copies under other keys at the same places, and on further pages whose printed numbers begin anew."""
+    lines = _book(spark).where("line_id < 9000")
+    entries = spark.createDataFrame([(1, "Maine", 3, "Kay, [903] H.", 1), (2, "Ohio", 4, "44", 1), (3, "Ohio", 4, "REGISTER OF PHYSICIANS—OHIO", 1)], "row_id bigint, publication string, page_number int, full_text string, loaded_at int")
+
+    def found(lines, entries, sent=500_000):
+        model = learn(lines, entries, sent=sent)
+        return rows(noise_kinds(line_noise(lines, model))), rows(noise_kinds(entry_noise(entries, model)))
+
+    k = spark.range(8).withColumnRenamed("id", "k")
+    page = lambda c: (F.col(c) + F.col("k") * shift).cast("int")
+    many = lines.crossJoin(k).withColumns({"line_id": F.col("line_id") + F.col("k") * 10_000, "page": page("page")}).drop("k")
+    more = entries.crossJoin(k).withColumns({"row_id": F.col("row_id") + F.col("k") * 10, "page_number": page("page_number")}).drop("k")
+    for one, got, sent, step in zip(found(lines, entries), found(many, more), found(many, more, 0), (10_000, 10)):
+        assert len(one) >= 3 and got == sent == sorted(((key + step * i, kind) for key, kind in one for i in range(8)), key=repr)
+
+
+def test_pieces_of_broken_words_found_alone_are_no_words(spark, rows):
+    words = spark.createDataFrame([("office", 900), ("offi", 3), ("ce", 2), ("GEORGE", 40), ("GEORGETOWN", 9), ("well", 2), ("known", 5)], "w string, n bigint")
+    asked = [("offi", "ce", "small")] * 7 + [("offi", "", "end"), ("offi", "", "end"), ("offi", "known", "small"), ("well", "ce", "small"), ("GEORGE", "TOWN", "capitals"), ("GEORGE", "", "end"), ("well", "known", "small")]
+    got = rows(judged(spark.createDataFrame(asked, "lft string, rgt string, how string"), words))
+    assert got == [("GEORGE", "TOWN", "capitals"), ("offi", "", "end"), ("offi", "ce", "small"), ("offi", "known", "small"), ("well", "ce", "small")]
