@@ -22,9 +22,9 @@ BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
 #: Pseudo-count by which the rate at one order leans on that at the next shorter one.
 LEAN = 25.0
-#: Texts of each language, at most, that are cut at random to learn how the endings of cut texts are rated: the
-#: labelled sample that the thresholds are fitted on. Each language has so many texts of all languages added.
-SIMULATED, POOLED = 10_000, 200.0
+#: Every text is also cut at random to learn how the endings of cut texts are rated, on which the thresholds are
+#: fitted. Each language has so many texts of all languages added.
+POOLED = 200.0
 #: A capitalised word is kept as it is if it makes up this share of such words of its language, else it is coded N;
 #: so at most 1 / KEEP words of a language are kept.
 KEEP = 5e-5
@@ -379,12 +379,8 @@ def train(
                 ["key", "h1", "made", "lang_no", "chain"],
             )
 
-    # Some texts are cut at a place that follows from their hash, to see how endings of cut texts are rated.
-    share = F.lit(min(1.0, SIMULATED / max(1, sum(counted.values()))))
-    for g, n in counted.items():
-        share = F.when(F.col("lang") == g, F.lit(min(1.0, SIMULATED / n))).otherwise(share)
-    picked = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1_000_000)) < share * 1_000_000
-    place = F.when(picked & (F.length("text") > 1), F.pmod(F.xxhash64("text", F.lit(2)), F.length("text") - 1) + 1).otherwise(0).cast("int")
+    # Every text is cut at a place that follows from its hash, to see how endings of cut texts are rated.
+    place = F.when(F.length("text") > 1, F.pmod(F.xxhash64("text", F.lit(2)), F.length("text") - 1) + 1).otherwise(0).cast("int")
     read = plain.where(F.length("text") > 0).select("key", "text", "lang", F.xxhash64(F.lit(1), "text").alias("text_h"), place.alias("place"))
     kind = plain.schema["key"].dataType.simpleString()
     chains = cut(read.mapInArrow(finals, f"key {kind}, h1 bigint, made boolean, lang_no int, chain array<bigint>"))
@@ -486,7 +482,7 @@ def _met(arrays: tuple[np.ndarray, np.ndarray, np.ndarray], chains: np.ndarray,
 
 def rate_texts(model: Model) -> DataFrame:
     """Rows (key, lang, grp, grp_null, chars, odds, h1, made, ratio) of all texts that the model was learnt from and,
-    with `made`, of those cut at random: how much likelier the final context is at the end of a whole text than at
+    with `made`, of the same texts cut at random: how much likelier the final context is at the end of a whole text than at
     a random place where a text of its language might be cut; null for null and empty texts."""
     told = model.endings
     spark = told.sparkSession

@@ -99,3 +99,14 @@ def test_thresholds(spark):
     real, made = {b: 100.0 for b in range(40, 60)} | {b: 5.0 for b in range(-60, -40)}, {b: 50.0 for b in range(-60, -40)}
     share, at = fitted(real, made)
     assert abs(share - 100 / 2100) < 1e-9 and -41 <= at <= 40 and fitted({}, made)[1] == float("-inf")
+
+
+def test_every_text_is_cut_for_the_fit(spark):
+    rng = random.Random(7)
+    texts = spark.createDataFrame([(k, "Kay " * rng.randrange(1, 2000) + "x.") for k in range(30)], "k int, text string")
+    df = spark.range(24_000).selectExpr("id as doc_id", "concat('No ', id, repeat(' of Kay', cast(id % 97 as int)), '.') as text", "if(id % 4 = 0, 'de', 'en') as lang", "'s' as source")
+    df = df.unionByName(texts.selectExpr("cast(k as bigint) + 50000 as doc_id", "text", "'en' as lang", "'s' as source"))
+    endings = train(df).endings
+    whole = endings.where("not made and chars > 1 and odds is null")
+    assert whole.count() > 10_500 and endings.where("made").select("key").exceptAll(whole.select("key")).count() == 0
+    assert endings.where("made").count() == whole.count()
